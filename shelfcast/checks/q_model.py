@@ -1 +1,278 @@
+"""Features, model and alerts.
 
+The fitted model depends on an iterative solver, so its queries are checked by row count here and
+against an independent solver in the unit tests.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..plans import model as lr
+from ..plans.alerts import alert_messages, candidates, new_alerts, send_alerts
+from ..plans.daily_run import Run, run_all
+from ..plans.features import feature_table, loader_rows, prepared
+from ..plans.trends import generated_trends
+from ..schemas import DATASET, EVENT_KEY, FEATURES, LOADER_FEATURES
+from ..session import fresh_path
+from ..sources.tables import append_aligned
+from .q_generators import (
+    NOW,
+    PRICES_SQL,
+    STAMP,
+    TEXTS,
+    fulfillment_sql,
+    search_sql,
+    seed_products,
+    trend_sql,
+)
+from .q_sinks import fresh_name
+from .registry import query, table
+from .standins import (
+    GOLD_DOUBLES,
+    GOLD_SQL,
+    LOG_SQL,
+    PREDICTIONS_SQL,
+    ROLLED_SQL,
+    alert_log_rows,
+    gold_rows,
+    prediction_rows,
+    rounded,
+)
+
+SIDE = "CASE WHEN percent_rank() OVER (ORDER BY ds) < 0.70 THEN 'train' ELSE 'test' END"
+FEATURES_SQL = f"{GOLD_SQL}, sided AS (SELECT *, {SIDE} AS split FROM gold)"
+
+
+def shown(columns):
+    return ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" if c in GOLD_DOUBLES else c for c in columns)
+
+
+@query(
+    "m2_feature_table",
+    f"WITH {FEATURES_SQL} SELECT store_id, product_id, ds AS event_date, {shown(FEATURES)}, brand, category, "
+    "stockout_next_7d AS stockout_label, split FROM sided",
+)
+def features(spark, folder):
+    return rounded(feature_table(gold_rows(spark, folder)))
+
+
+for _side, _split in (("train", "train"), ("valid", "test")):
+
+    @query(
+        f"m3_load_{_side}",
+        f"WITH {FEATURES_SQL} SELECT store_id, product_id, ds, stockout_next_7d AS label, "
+        f"{shown(LOADER_FEATURES)} FROM sided WHERE split = '{_split}'",
+    )
+    def load_side(spark, folder, side=_side):
+        return rounded(loader_rows(gold_rows(spark, folder), side))
+
+
+PREPARED_SQL = (
+    f"{FEATURES_SQL}, prepared AS (SELECT store_id, product_id, ds AS event_date, split, "
+    + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in FEATURES)
+    + ", CAST(stockout_next_7d AS INT) AS label FROM sided)"
+)
+
+
+def rounded_features(source: str) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in FEATURES) + f", label FROM {source}"
+
+
+@query(
+    "m4_prepared_features",
+    f"WITH {PREPARED_SQL} SELECT store_id, product_id, event_date, {rounded_features('prepared')}",
+)
+def prepared_features(spark, folder):
+    return rounded(prepared(feature_table(gold_rows(spark, folder)), *EVENT_KEY))
+
+
+@query(
+    "m5_standardised_features",
+    f"WITH {PREPARED_SQL}, stats AS (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES)
+    + " FROM prepared WHERE split = 'train'), scaled AS (SELECT store_id, product_id, event_date, label, "
+    + ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS {c}" for c in FEATURES)
+    + f" FROM prepared, stats) SELECT store_id, product_id, event_date, {rounded_features('scaled')}",
+)
+def standardised(spark, folder):
+    rows = prepared(feature_table(gold_rows(spark, folder)), *EVENT_KEY, "split")
+    scaler, _ = lr.fit_scaler(rows.filter(F.col("split") == "train"))
+    return rounded(rows.select(*EVENT_KEY, *scaler.columns(), "label"))
+
+
+def stored_features(spark, folder):
+    """The feature table, written once: fitting reads it many times."""
+    path = fresh_path(spark, "features")
+    feature_table(gold_rows(spark, folder)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("m6_logistic_regression")
+def logistic_regression(spark, folder):
+    model = lr.fit(stored_features(spark, folder))
+    rows = [*zip(FEATURES, model.coefficients, strict=True), ("intercept", model.intercept)]
+    return spark.createDataFrame(rows, "term string, weight double")
+
+
+@query("m7_probability_and_flag")
+def probability_and_flag(spark, folder):
+    rows = stored_features(spark, folder)
+    scored = lr.with_scores(prepared(rows, *EVENT_KEY), lr.fit(rows))
+    return scored.select(*EVENT_KEY, "predicted_stockout_proba", "predicted_stockout_flag")
+
+
+@query("m8_predictions_table")
+def predictions_table(spark, folder):
+    rows = stored_features(spark, folder)
+    return lr.predictions(rows, lr.fit(rows))
+
+
+@query("m9_evaluation_record")
+def evaluation_record(spark, folder):
+    rows = stored_features(spark, folder)
+    return lr.metrics_json(lr.evaluation(rows, lr.fit(rows)))
+
+
+@query("m10_registry_rows")
+def registry(spark, folder):
+    """The dataset of each order status is its latest order; the model's one is looked up."""
+    rows = stored_features(spark, folder)
+    metrics = lr.metrics_json(lr.evaluation(rows, lr.fit(rows)))
+    datasets = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("dataset_id"),
+        F.col("o_orderstatus").alias("model_id"),
+        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+    )
+    dataset_id = lr.latest_dataset(datasets.select(*DATASET.fieldNames()), "F")
+    run, version = lr.registry_rows(metrics, "F", dataset_id, "predictions", STAMP)
+    return run.join(version, run.run_id == version.training_run_id).select(
+        "run_id", "dataset_id", "params", "metrics", run.status, "model_version_id"
+    )
+
+
+CANDIDATE = "predicted_stockout_flag = 1 AND predicted_stockout_proba >= 0.8"
+
+@query("m11_alert_candidates", f"WITH {PREDICTIONS_SQL} SELECT * FROM predictions WHERE {CANDIDATE}")
+def alert_candidates(spark, folder):
+    return candidates(prediction_rows(spark, folder))
+
+
+@query(
+    "m12_new_alerts",
+    f"WITH {PREDICTIONS_SQL}{LOG_SQL} SELECT * FROM predictions p WHERE {CANDIDATE} AND NOT EXISTS "
+    "(SELECT 1 FROM alert_log l WHERE l.store_id = p.store_id AND l.product_id = p.product_id "
+    "AND l.event_date = p.event_date)",
+)
+def unsent_alerts(spark, folder):
+    return new_alerts(prediction_rows(spark, folder), alert_log_rows(spark, folder))
+
+
+@query(
+    "m13_alert_batch",
+    f"WITH {PREDICTIONS_SQL}{LOG_SQL} SELECT store_id, product_id, event_date, "
+    "printf('🚨 *Stock-out Alert*\nStockout risk detected (no text returned).\n\n_Details:_ store=%d, "
+    "product=%d, date=%s, prob=%.2f, flag=%d', store_id, product_id, CAST(event_date AS VARCHAR), "
+    "predicted_stockout_proba, predicted_stockout_flag) AS message "
+    f"FROM predictions p WHERE {CANDIDATE} AND NOT EXISTS (SELECT 1 FROM alert_log l WHERE "
+    "l.store_id = p.store_id AND l.product_id = p.product_id AND l.event_date = p.event_date)",
+)
+def alert_batch(spark, folder):
+    """Sent twice against a log with earlier alerts: the outbox holds each new alert once."""
+    base, log, outbox = fresh_path(spark, "alerts"), fresh_name("log"), fresh_name("outbox")
+    append_aligned(spark, log, alert_log_rows(spark, folder), base)
+    rows = prediction_rows(spark, folder)
+    send_alerts(spark, rows, NOW, base, outbox, log)
+    send_alerts(spark, rows, NOW + dt.timedelta(days=1), base, outbox, log)
+    return spark.table(outbox).select(*EVENT_KEY, "message")
+
+
+# --- the whole run ------------------------------------------------------------------------------------
+
+KEYWORD = ("seasonal decor", "R1")
+RUN_SQL = f"""
+pairs AS (SELECT store_id, product_id AS tcin FROM search),
+{fulfillment_sql('pairs')},
+{trend_sql(f"SELECT '{KEYWORD[0]}' AS keyword, '{KEYWORD[1]}' AS region")},
+joined AS (
+  SELECT CAST(f.store_id AS INT) AS store_id, CAST(f.product_tcin AS INT) AS product_id,
+    CAST(f.record_date AS DATE) AS ds, p.title, p.price, r_name AS location_name,
+    CAST(round_even(p.rating, 0) AS INT) AS rating, CAST(p.reviews AS INT) AS number_of_reviews,
+    pp.current_retail_min, pp.reg_retail_max, f.available_to_promise_qty,
+    CAST(g.interest_score AS INT) AS google_trend_score, f.is_sold_out = 'true' AS is_sold_out,
+    f.is_out_of_stock_in_all_stores = 'true' AS is_out_of_stock_in_all_stores,
+    f.shipping_availability_status, lower(f.shipping_method_short_description) AS shipping_method,
+    f.is_two_day_shipping = 'true' AS is_two_day_shipping,
+    f.is_base_shipping_method = 'true' AS is_base_shipping_method,
+    CAST(f.min_delivery_date AS DATE) AS min_delivery_date,
+    CAST(f.max_delivery_date AS DATE) AS max_delivery_date
+  FROM fulfillment f
+  LEFT JOIN search p ON p.store_id = f.store_id AND p.product_id = f.product_tcin
+  LEFT JOIN region ON r_regionkey = f.store_id
+  LEFT JOIN trend g ON CAST(g.dt AS DATE) = CAST(f.record_date AS DATE)
+  LEFT JOIN prices pp ON pp.store_id = f.store_id AND pp.product_id = f.product_tcin
+    AND CAST(pp.record_date AS DATE) = CAST(f.record_date AS DATE)
+),
+daily AS (
+  SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY store_id, product_id, ds
+    ORDER BY shipping_availability_status, shipping_method, available_to_promise_qty,
+      is_out_of_stock_in_all_stores, is_sold_out, is_two_day_shipping, is_base_shipping_method,
+      min_delivery_date, max_delivery_date) AS n FROM joined) j WHERE n = 1
+),
+{ROLLED_SQL}"""
+RUN_COLUMNS = [
+    "store_id",
+    "product_id",
+    "ds",
+    "title",
+    "location_name",
+    "price",
+    "rating",
+    "number_of_reviews",
+    "current_retail_min",
+    "reg_retail_max",
+    "available_to_promise_qty",
+    "google_trend_score",
+    "is_sold_out",
+    "shipping_method",
+    "min_delivery_date",
+    "max_delivery_date",
+    "inv_7d_avg",
+    "inv_7d_std",
+    "trend_7d_avg",
+    "is_oos_today",
+    "stockout_next_7d",
+]
+
+
+def whole_run(spark, folder):
+    """Every region a store, every part a product; a day's run into tables of its own."""
+    region = table(spark, folder, "region")
+    store_data = region.select(
+        F.col("r_regionkey").cast("string").alias("store_id"),
+        F.col("r_name").alias("location_name"),
+        F.col("r_name").alias("city"),
+        F.lit("").alias("state"),
+        F.lit("").alias("postal_code"),
+    )
+    keyword = spark.createDataFrame([KEYWORD], "keyword string, region string")
+    return run_all(
+        Run(spark, fresh_path(spark, "run"), fresh_name("run"), NOW),
+        seed_products(spark, folder),
+        store_data,
+        region.select(F.col("r_regionkey").cast("long").alias("store_id")),
+        None,
+        generated_trends(keyword, NOW.date(), NOW),
+        **TEXTS,
+    )
+
+
+@query(
+    "m14_end_to_end",
+    f"WITH {search_sql('region', 'r_regionkey')}, {PRICES_SQL}, {RUN_SQL} SELECT {shown(RUN_COLUMNS)} FROM gold",
+)
+def end_to_end(spark, folder):
+    """The gold table of the whole run (its alerts depend on the fitted model)."""
+    return rounded(whole_run(spark, folder)["gold"].select(*RUN_COLUMNS))

@@ -124,9 +124,7 @@ daily AS (
 )
 
 # Rolling features, and the label by a self join over the next seven days.
-GOLD_SQL = (
-    DAILY_SQL
-    + """,
+ROLLED_SQL = """
 rolled AS (
   SELECT *,
     avg(available_to_promise_qty) OVER last7 AS inv_7d_avg,
@@ -157,7 +155,7 @@ gold AS (
   SELECT r.*, r.price AS listed_price, (n.later_rows = 0 OR n.any_oos = 1) AS stockout_next_7d
   FROM rolled r JOIN ahead n USING (store_id, product_id, ds)
 )"""
-)
+GOLD_SQL = f"{DAILY_SQL},{ROLLED_SQL}"
 
 GOLD_DOUBLES = {
     "price",

@@ -80,8 +80,9 @@ def short_id(prefix: str, *parts: ColumnOrName) -> Column:
 
 def price_text(low: ColumnOrName, high: ColumnOrName, is_range: ColumnOrName) -> Column:
     """'$a - $b' for a range, else '$a'; inputs are already rounded to cents."""
-    low_text = F.format_string("$%.2f", as_column(low).cast("decimal(18,2)"))
-    high_text = F.format_string("$%.2f", as_column(high).cast("decimal(18,2)"))
+    low_text, high_text = (
+        F.concat(F.lit("$"), as_column(price).cast("decimal(18,2)").cast("string")) for price in (low, high)
+    )
     return F.when(
         as_column(low).isNotNull(),
         F.when(as_column(is_range), F.concat(low_text, F.lit(" - "), high_text)).otherwise(low_text),

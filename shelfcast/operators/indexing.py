@@ -56,11 +56,11 @@ def sums_below(
     """
     shares = [i / buckets for i in range(1, buckets)]
     value = F.col(order).cast("double")
-    borders = df.agg(F.percentile_approx(value, shares, 10 * buckets)).first()[0] or []
-    splits = [float("-inf"), *sorted(set(borders)), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket").transform(
-        df.withColumn("_order", value)
-    )
+    borders = df.agg(F.percentile_approx(value, shares, 10 * buckets)).first()[0] if shares else None
+    splits = [float("-inf"), *sorted(set(borders or [0.0])), float("inf")]
+    bucketed = Bucketizer(
+        splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep"
+    ).transform(df.withColumn("_order", value))
     totals = bucketed.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums])
     before = (
         Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -155,7 +155,8 @@ def fit_copula(
             yield pd.DataFrame({m.name: normal_score(m.share_of(batch[m.name])) for m in marginals})
 
     schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
-    scored = df.select(*names).mapInPandas(scores, schema)
+    doubles = [F.col(n).cast("double") if n in numeric else F.col(n) for n in names]
+    scored = df.select(*[c.alias(n) for c, n in zip(doubles, names, strict=True)]).mapInPandas(scores, schema)
     # pandas writes a missing value as NaN, which corr would take as a number.
     known = scored.select(*[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
     matrix = np.eye(len(names))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import short_id
 from ..operators.aggregates import feature_stats, latest_row
@@ -108,18 +108,18 @@ def evaluation(features: DataFrame, model: StockoutModel) -> DataFrame:
     """One row: accuracy and F1 of both sides, ROC AUC of the later one."""
     scored = with_scores(prepared(features, "split"), model)
     label, flag = "label", "predicted_stockout_flag"
-    sides = {"train": "train", "valid": "test"}
-    parts = []
-    for name, side in sides.items():
-        rows = scored.filter(F.col("split") == side)
-        parts.append(
-            rows.agg(accuracy(label, flag).alias(f"{name}_acc"), f1(label, flag).alias(f"{name}_f1"))
-        )
+    by_side = scored.groupBy("split").agg(accuracy(label, flag).alias("acc"), f1(label, flag).alias("f1"))
+    rates = by_side.agg(
+        *[
+            F.max(F.when(F.col("split") == side, F.col(metric))).alias(f"{name}_{metric}")
+            for name, side in (("train", "train"), ("valid", "test"))
+            for metric in ("acc", "f1")
+        ]
+    )
     auc = roc_auc(scored.filter(F.col("split") == "test"), label, "predicted_stockout_proba")
-    parts.append(auc.withColumnRenamed("roc_auc", "valid_roc_auc"))
-    one = [p.withColumn("_row", F.lit(1)) for p in parts]  # three one-row frames side by side
-    joined = one[0].join(one[1], "_row").join(one[2], "_row")
-    return joined.select("train_acc", "train_f1", "valid_acc", "valid_f1", "valid_roc_auc")
+    row = F.lit(1).alias("_row")  # two one-row frames, side by side
+    joined = rates.select("*", row).join(auc.select(F.col("roc_auc").alias("valid_roc_auc"), row), "_row")
+    return joined.drop("_row")
 
 
 def metrics_json(evaluated: DataFrame) -> DataFrame:

@@ -11,8 +11,6 @@ from ..functions.text import address_line, business_key
 from ..operators.columns import flattened, normalised_names
 from ..schemas import STORE_DATA, STORE_RESPONSE
 
-LINEAGE = ["store_id", "tcin", "record_date", "load_date", "load_timestamp"]
-
 
 def parse_response(
     df: DataFrame, body: str, schema: T.StructType, lineage: Mapping[str, ColumnOrName]
