@@ -17,7 +17,7 @@ from ..plans.features import feature_table, loader_rows, prepared
 from ..plans.trends import generated_trends
 from ..schemas import DATASET, EVENT_KEY, FEATURES, LOADER_FEATURES
 from ..session import fresh_path
-from ..sources.tables import append_aligned
+from ..sources.tables import append_aligned, replace_table
 from .q_generators import (
     NOW,
     PRICES_SQL,
@@ -183,7 +183,7 @@ def alert_batch(spark, folder):
     """Sent twice against a log with earlier alerts: the outbox holds each new alert once."""
     base, log, outbox = fresh_path(spark, "alerts"), fresh_name("log"), fresh_name("outbox")
     append_aligned(spark, log, alert_log_rows(spark, folder), base)
-    rows = prediction_rows(spark, folder)
+    rows = replace_table(spark, fresh_name("predictions"), prediction_rows(spark, folder), base)
     send_alerts(spark, rows, NOW, base, outbox, log)
     send_alerts(spark, rows, NOW + dt.timedelta(days=1), base, outbox, log)
     return spark.table(outbox).select(*EVENT_KEY, "message")

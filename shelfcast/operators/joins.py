@@ -34,6 +34,15 @@ def delete_matching(target: DataFrame, stage: DataFrame, keys: Sequence[str]) ->
     return not_in(target, stage, keys)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all shuffle partitions, for a small frame that is about to be multiplied.
+
+    A seed table is often one file, so without this one task would make all of the generated rows.
+    Rows are moved before they are multiplied; a set number keeps AQE from merging them again.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def store_grid(
     products: DataFrame, stores: DataFrame | Sequence[int], chunks: int = GRID_CHUNKS
 ) -> DataFrame:
@@ -45,9 +54,9 @@ def store_grid(
     """
     if not isinstance(stores, DataFrame):
         listed = F.array(*[F.lit(s) for s in stores])
-        return products.select(F.explode(listed).alias("store_id"), *products.columns)
+        return spread(products).select(F.explode(listed).alias("store_id"), *products.columns)
     chunked = stores.withColumn("_chunk", F.pmod(F.xxhash64("store_id"), F.lit(chunks)).cast("int"))
-    repeated = products.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    repeated = spread(products).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     return repeated.join(broadcast_if_small(chunked), "_chunk").select(
         *stores.columns, *products.columns
     )
