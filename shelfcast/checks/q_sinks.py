@@ -245,6 +245,17 @@ def declared_table(spark, folder):
     return tables.append_aligned(spark, name, rows, base).drop("alert_sent_at")
 
 
+@query("s16_stored_columns", "SELECT p_partkey, p_brand, p_size FROM part")
+def stored_columns(spark, folder):
+    """Rows cut to the columns the catalog has for a table."""
+    base, name = fresh_path(spark, "tables"), fresh_name("listed")
+    rows = table(spark, folder, "part")
+    assert not tables.table_exists(spark, name)
+    tables.ensure_table(spark, name, rows.select("p_partkey", "p_brand", "p_size").schema, base)
+    assert tables.table_exists(spark, name)
+    return rows.select(*tables.table_columns(spark, name))
+
+
 @query(
     "s17_parameterised_statement",
     "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000",

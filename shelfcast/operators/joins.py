@@ -10,13 +10,57 @@ from .bounds import broadcast_if_small
 from .indexing import dense_index
 
 GRID_CHUNKS = 64
+HOT_ROWS = 1_000_000
 
 
 def left_join(fact: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left equi join of two large frames: a shuffle, whose skewed partitions AQE splits on the fact side."""
+    """Left equi join of two large frames: a shuffle, whose skewed partitions AQE splits on the fact side.
+
+    AQE can do so where each side is shuffled for this join. A side that already lies by the key
+    (the result of a group-by or a window over it) is not; use ``salted_left_join`` there.
+    """
     return fact.join(side, list(keys), "left")
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more rows than a task's fair share, and into how many parts to cut each.
+
+    There are fewer of them than shuffle partitions, by the definition of the share. Runs a count.
+    """
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(fact.count() / partitions, hot_rows)
+    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > share)
+    return counted.select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_parts"))
+
+
+def salted_left_join(
+    fact: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left equi join where one key may hold much of the fact rows.
+
+    The rows of a hot key are dealt into parts of a task's share each, and the key's side rows are
+    repeated for every part; all other keys join as they are. ``counted`` is a cheaper frame with the
+    fact's keys to count. Without hot keys this is the plain join. Runs two aggregates over the keys.
+    """
+    keys = list(keys)
+    found = hot_keys((fact if counted is None else counted).select(*keys), keys, hot_rows)
+    rows = found.collect()  # fewer rows than shuffle partitions
+    if not rows:
+        return fact.join(side, keys, "left")
+    hot = F.broadcast(fact.sparkSession.createDataFrame(rows, found.schema))
+    # The task and the row's content decide the part, so a retried task deals its rows alike, and
+    # equal rows of different tasks go apart.
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col("_parts")).cast("int")
+    facts = fact.join(hot, keys, "left").withColumn("_part", F.coalesce(dealt, F.lit(0)))
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    sides = side.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+    return facts.drop("_parts").join(sides.drop("_parts"), [*keys, "_part"], "left").drop("_part")
+
+
 def lookup_join(fact: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi join to a dimension, broadcast if it is measured to be small."""
     return fact.join(broadcast_if_small(side), list(keys), "left")

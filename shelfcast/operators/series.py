@@ -22,6 +22,8 @@ def latest_per_key(
     if rest is None:
         rest = [c for c in df.columns if c not in keys and c not in newest_first]
     order = [F.col(c).desc_nulls_last() for c in newest_first] + [F.col(c).asc_nulls_last() for c in rest]
+    if not order:  # rows of one key are all alike
+        return df.dropDuplicates(list(keys))
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

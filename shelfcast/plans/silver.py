@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.casting import hard_int, int_of, try_date, try_double, try_timestamp
 from ..functions.text import lowered, trimmed
 from ..operators.filters import all_known, newer_than
-from ..operators.joins import left_join, lookup_join
+from ..operators.joins import left_join, lookup_join, salted_left_join
 from ..operators.series import latest_per_key
 
 # The columns of the silver table, in order.
@@ -151,7 +151,9 @@ def silver(
     ``latest_product_only`` keeps the latest load first.
 
     The two shuffled joins come first, the finer key before the one that may repeat rows; store and
-    trend columns are looked up last, so they are never shuffled.
+    trend columns are looked up last, so they are never shuffled. A pair with much of the facts is
+    salted for the product join: the latest product per pair already lies by the pair, so that AQE
+    could not split it.
     """
     facts = clean_fulfillment(fulfillment)
     if after is not None:
@@ -160,7 +162,8 @@ def silver(
     if latest_product_only:
         products = latest_per_key(products, ["store_id", "product_id"], ["load_date"])
     joined = left_join(facts, clean_prices(prices), ["store_id", "product_id", "record_date"])
-    joined = left_join(joined, products.drop("load_date"), ["store_id", "product_id"])
+    products = products.drop("load_date")
+    joined = salted_left_join(joined, products, ["store_id", "product_id"], counted=facts)
     joined = lookup_join(joined, clean_stores(stores), ["store_id"])
     joined = lookup_join(joined, clean_trends(trends), ["record_date"])
     return joined.withColumn("silver_load_ts", load_ts).select(*SILVER_COLUMNS)

@@ -129,6 +129,22 @@ def test_store_grid_same_for_list_table_and_unmeasured_table(spark, monkeypatch)
     assert len(listed) == 30
 
 
+def test_salted_join_cuts_a_hot_key_and_keeps_every_row(spark):
+    hot = spark.range(600).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("v"))  # exact copies too
+    rest = spark.range(1200).select((F.col("id") % 40 + 2).cast("int").alias("k"), F.col("id").alias("v"))
+    none = spark.createDataFrame([(None, 7)], "k int, v long")
+    fact = hot.unionByName(rest).unionByName(none).repartition(8)
+    side = spark.createDataFrame([(1, "a"), (1, "b"), (5, "c"), (99, "d")], "k int, w string")
+    side = series.latest_per_key(side, ["k", "w"], [])
+    assert [(r["k"], r["_parts"]) for r in joins.hot_keys(fact, ["k"], 100).collect()] == [(1, 2)]
+    joined = joins.salted_left_join(fact, side, ["k"], hot_rows=100)
+    plain = fact.join(side, ["k"], "left")
+    assert joined.columns == plain.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+    assert "_part" in joined._jdf.queryExecution().toString()
+    assert "_part" not in joins.salted_left_join(fact, side, ["k"])._jdf.queryExecution().toString()
+
+
 def test_positions_are_even(spark):
     pairs = spark.createDataFrame([(i,) for i in range(7)], "k int")
     got = joins.assign_by_position(spark.range(100), "id", pairs, ["k"]).groupBy("k").count().collect()
