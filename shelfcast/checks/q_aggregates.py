@@ -17,6 +17,7 @@ from ..operators.aggregates import (
 )
 from ..operators.metrics import accuracy, f1, roc_auc
 from ..sources.column_roles import detect_roles
+from .q_sinks import id_or
 from .registry import query, table
 from .standins import SILVER_SQL, rounded, silver_rows
 
@@ -192,7 +193,27 @@ def info(spark, folder):
     return table_info(table(spark, folder, "orders"))
 
 
-@query("a14_column_roles")
+LINE_ROLES = [
+    ("l_orderkey", id_or("l_orderkey", "numerical")),
+    ("l_partkey", "max('categorical')"),
+    ("l_suppkey", "max('categorical')"),
+    ("l_linenumber", id_or("l_linenumber", "numerical")),
+    ("l_quantity", "max('numerical')"),
+    ("l_extendedprice", "max('numerical')"),
+    ("l_discount", "max('numerical')"),
+    ("l_tax", "max('numerical')"),
+    ("l_returnflag", id_or("l_returnflag", "categorical")),
+    ("l_linestatus", id_or("l_linestatus", "categorical")),
+    ("l_shipdate", "max('datetime')"),
+]
+
+
+@query(
+    "a14_column_roles",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, {role} AS sdtype FROM lineitem" for name, role in LINE_ROLES
+    ),
+)
 def column_roles(spark, folder):
     return detect_roles(
         table(spark, folder, "lineitem"),

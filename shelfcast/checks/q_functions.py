@@ -136,7 +136,7 @@ def current_time(spark, folder):
 @query(
     "f12_date_arithmetic",
     "SELECT l_orderkey, CAST(l_shipdate AS DATE) + 7 AS next_week, CAST(l_shipdate AS DATE) - 6 AS week_start, "
-    "date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS days FROM lineitem",
+    "CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS INT) AS days FROM lineitem",
 )
 def date_arithmetic(spark, folder):
     day = F.col("l_shipdate").cast("date")

@@ -172,7 +172,7 @@ pp AS (
     'reg' AS formatted_current_price_type, 'was' AS formatted_comparison_price_type,
     min(l_extendedprice) AS current_retail_min, max(l_extendedprice) AS current_retail_max,
     min(l_quantity) AS reg_retail_min, max(l_quantity) AS reg_retail_max,
-    max(l_linenumber) AS cart_add_on_threshold, min(l_returnflag) AS formatted_current_price,
+    CAST(max(l_linenumber) AS BIGINT) AS cart_add_on_threshold, min(l_returnflag) AS formatted_current_price,
     max(l_returnflag) AS formatted_comparison_price
   FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_suppkey, l_partkey, l_shipdate
 )"""

@@ -167,7 +167,7 @@ def fulfillment_job(spark, folder):
 @query(
     "s4_json_response_scan",
     f"WITH {TURNS_SQL} SELECT store_id, tcin, {DAYS_SQL}, oos, status, "
-    "CASE WHEN role = 'system' THEN 0 WHEN len(lines) > 1 THEN len(lines) END AS services FROM turns",
+    "CAST(CASE WHEN role = 'system' THEN 0 WHEN len(lines) > 1 THEN len(lines) END AS INT) AS services FROM turns",
 )
 def json_response_scan(spark, folder):
     """Responses landed as files of one JSON document per line, with their keys beside the body."""

@@ -130,26 +130,62 @@ def predictions_table(spark, folder):
     return lr.predictions(rows, lr.fit(rows))
 
 
+@query(
+    "m8_predictions_consistency",
+    f"WITH {GOLD_SQL} SELECT store_id, product_id, ds AS event_date, stockout_next_7d AS stockout_label, "
+    "TRUE AS flag_agrees, TRUE AS proba_in_range FROM gold",
+)
+def predictions_consistency(spark, folder):
+    """Every gold row is scored once; its flag follows from its probability."""
+    rows = stored_features(spark, folder)
+    proba = F.col("predicted_stockout_proba")
+    return lr.predictions(rows, lr.fit(rows)).select(
+        *EVENT_KEY,
+        "stockout_label",
+        ((proba >= 0.5).cast("int") == F.col("predicted_stockout_flag")).alias("flag_agrees"),
+        ((proba > 0) & (proba < 1)).alias("proba_in_range"),
+    )
+
+
 @query("m9_evaluation_record")
 def evaluation_record(spark, folder):
     rows = stored_features(spark, folder)
     return lr.metrics_json(lr.evaluation(rows, lr.fit(rows)))
 
 
-@query("m10_registry_rows")
+RUN_ID, VERSION_ID = (
+    f"'{prefix}' || substr(md5('F|{STAMP}|{what}'), 1, 8)" for prefix, what in (("run_", "run"), ("mv_", "version"))
+)
+
+
+@query(
+    "m10_registry_rows",
+    f"SELECT {RUN_ID} AS run_id, {VERSION_ID} AS model_version_id, 'F' AS model_id, "
+    "lpad(CAST(arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR), 12, '0') AS dataset_id, "
+    """'{"model":"logistic_regression","scaler":"standard"}' AS params, """
+    "'train_acc,train_f1,valid_acc,valid_f1,valid_roc_auc' AS metric_names, "
+    "'success' AS run_status, 'candidate' AS version_status FROM orders WHERE o_orderstatus = 'F'",
+)
 def registry(spark, folder):
     """The dataset of each order status is its latest order; the model's one is looked up."""
     rows = stored_features(spark, folder)
     metrics = lr.metrics_json(lr.evaluation(rows, lr.fit(rows)))
     datasets = table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("dataset_id"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("dataset_id"),
         F.col("o_orderstatus").alias("model_id"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
     )
     dataset_id = lr.latest_dataset(datasets.select(*DATASET.fieldNames()), "F")
     run, version = lr.registry_rows(metrics, "F", dataset_id, "predictions", STAMP)
     return run.join(version, run.run_id == version.training_run_id).select(
-        "run_id", "dataset_id", "params", "metrics", run.status, "model_version_id"
+        "run_id",
+        "model_version_id",
+        run.model_id,
+        "dataset_id",
+        "params",
+        F.concat_ws(",", F.json_object_keys("metrics")).alias("metric_names"),
+        run.status.alias("run_status"),
+        version.status.alias("version_status"),
     )
 
 

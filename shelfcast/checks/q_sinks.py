@@ -18,6 +18,11 @@ from .registry import query, table
 from .standins import LOG_SQL, PREDICTIONS_SQL, alert_log_rows, load_ts
 
 
+def id_or(column: str, other: str) -> str:
+    """The role of a column of keys or texts, by its share of distinct values."""
+    return f"CASE WHEN count(DISTINCT {column}) >= 0.95 * count({column}) THEN 'id' ELSE '{other}' END"
+
+
 def fresh_name(label: str) -> str:
     return f"check_{label}_{uuid.uuid4().hex[:8]}"
 
@@ -31,7 +36,7 @@ def table_scan(spark, folder):
 @query(
     "s2_seed_csv_scan",
     "SELECT CAST(doc_id AS VARCHAR) AS product_id, text AS title, CAST(n_chars AS DOUBLE) AS price, "
-    "NULL AS rating FROM documents WHERE text IS NOT NULL AND text <> ''",
+    "CAST(NULL AS DOUBLE) AS rating FROM documents WHERE text IS NOT NULL AND text <> ''",
 )
 def seed_csv_scan(spark, folder):
     """Long texts with quotes, commas and line breaks as titles; ratings are not numbers."""
@@ -59,7 +64,20 @@ def csv_written(spark, folder):
     return read_csv(spark, path, rows.schema)
 
 
-@query("s6_column_role_file")
+ROLES_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, {role} AS sdtype FROM orders"
+    for name, role in (
+        ("o_orderkey", id_or("o_orderkey", "numerical")),
+        ("o_custkey", id_or("o_custkey", "numerical")),
+        ("o_orderstatus", id_or("o_orderstatus", "categorical")),
+        ("o_totalprice", "max('numerical')"),
+        ("o_orderdate", "max('datetime')"),
+        ("o_orderpriority", id_or("o_orderpriority", "categorical")),
+    )
+)
+
+
+@query("s6_column_role_file", ROLES_SQL)
 def column_role_file(spark, folder):
     path = fresh_path(spark, "roles")
     write_roles(detect_roles(table(spark, folder, "orders")), path)

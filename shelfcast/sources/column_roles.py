@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..schemas import COLUMN_ROLES
 
 ID_SHARE = 0.95
+DISTINCT_ERROR = 0.01
 
 
 def detect_roles(
@@ -19,7 +20,8 @@ def detect_roles(
 ) -> DataFrame:
     """A role per column, from its type and its share of distinct values; overrides win.
 
-    One pass; distinct values are counted by sketch (5 % error), which the threshold allows for.
+    One pass; distinct values are counted by sketch, whose error is a fifth of the share that an id
+    column may fall short of all-distinct.
     Later overrides win over earlier ones.
     """
 
@@ -39,7 +41,7 @@ def detect_roles(
             return F.lit("numerical")
         if isinstance(field.dataType, (T.StringType, T.IntegralType)):
             other = "categorical" if isinstance(field.dataType, T.StringType) else "numerical"
-            distinct = F.approx_count_distinct(column)
+            distinct = F.approx_count_distinct(column, DISTINCT_ERROR)
             known = F.count(column)
             return F.when((known > 0) & (distinct >= known * ID_SHARE), "id").otherwise(other)
         return F.lit("unknown")
