@@ -89,13 +89,18 @@ def prepared_features(spark, folder):
     return rounded(prepared(feature_table(gold_rows(spark, folder)), *EVENT_KEY))
 
 
-@query(
-    "m5_standardised_features",
-    f"WITH {PREPARED_SQL}, stats AS (SELECT "
+SCALED_SQL = (
+    f"{PREPARED_SQL}, stats AS (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES)
     + " FROM prepared WHERE split = 'train'), scaled AS (SELECT store_id, product_id, event_date, label, "
     + ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS {c}" for c in FEATURES)
-    + f" FROM prepared, stats) SELECT store_id, product_id, event_date, {rounded_features('scaled')}",
+    + " FROM prepared, stats)"
+)
+
+
+@query(
+    "m5_standardised_features",
+    f"WITH {SCALED_SQL} SELECT store_id, product_id, event_date, {rounded_features('scaled')}",
 )
 def standardised(spark, folder):
     rows = prepared(feature_table(gold_rows(spark, folder)), *EVENT_KEY, "split")
@@ -124,6 +129,34 @@ def probability_and_flag(spark, folder):
     return scored.select(*EVENT_KEY, "predicted_stockout_proba", "predicted_stockout_flag")
 
 
+# Weights that need no fitting, so that SQL can apply them too.
+WEIGHTS = {name: (-1.0) ** i / (i + 1) for i, name in enumerate(FEATURES)}
+INTERCEPT = -0.5
+
+
+def model_of_given_weights(rows):
+    scaler, _ = lr.fit_scaler(prepared(rows.filter(F.col("split") == "train")))
+    return lr.StockoutModel(scaler, list(WEIGHTS.values()), INTERCEPT)
+
+
+GIVEN_PROBA = (
+    f"1 / (1 + exp(-({INTERCEPT}::DOUBLE + "
+    + " + ".join(f"{w!r}::DOUBLE * {c}" for c, w in WEIGHTS.items())
+    + ")))"
+)
+
+
+@query(
+    "m7_probability_of_given_weights",
+    f"WITH {SCALED_SQL} SELECT store_id, product_id, event_date, round(p, 9) AS predicted_stockout_proba, "
+    f"CAST(p >= 0.5 AS INT) AS predicted_stockout_flag FROM (SELECT *, {GIVEN_PROBA} AS p FROM scaled) x",
+)
+def probability_of_given_weights(spark, folder):
+    rows = stored_features(spark, folder)
+    scored = lr.with_scores(prepared(rows, *EVENT_KEY), model_of_given_weights(rows))
+    return rounded(scored.select(*EVENT_KEY, "predicted_stockout_proba", "predicted_stockout_flag"), 9)
+
+
 @query("m8_predictions_table")
 def predictions_table(spark, folder):
     rows = stored_features(spark, folder)
@@ -153,6 +186,33 @@ def evaluation_record(spark, folder):
     return lr.metrics_json(lr.evaluation(rows, lr.fit(rows)))
 
 
+@query(
+    "m9_evaluation_of_scores",
+    f"""WITH {PREDICTIONS_SQL},
+scored AS (SELECT CAST(stockout_label AS INT) AS y, predicted_stockout_flag AS z, predicted_stockout_proba AS s,
+  {SIDE.replace('ds', 'event_date')} AS split FROM predictions),
+sides AS (SELECT split, avg(CAST(y = z AS DOUBLE)) AS acc, 2.0 * sum(y * z) / (sum(y) + sum(z)) AS f1
+  FROM scored GROUP BY split),
+ranked AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r
+  FROM scored WHERE split = 'test'),
+sums AS (SELECT sum(CASE WHEN y = 1 THEN r END) AS ranks, CAST(sum(y) AS DOUBLE) AS p,
+  CAST(count(*) - sum(y) AS DOUBLE) AS n FROM ranked)
+SELECT round(a.acc, 9) AS train_acc, round(a.f1, 9) AS train_f1, round(b.acc, 9) AS valid_acc,
+  round(b.f1, 9) AS valid_f1, round((ranks - p * (p + 1) / 2) / (p * n), 9) AS valid_roc_auc
+FROM sides a, sides b, sums WHERE a.split = 'train' AND b.split = 'test'""",
+)
+def evaluation_of_scores(spark, folder):
+    """The record of scores that SQL knows; read back from its JSON."""
+    sides = feature_table(gold_rows(spark, folder)).select(*EVENT_KEY, "split")
+    scored = prediction_rows(spark, folder).join(sides, EVENT_KEY)
+    record = lr.metrics_json(
+        lr.evaluation_of(scored.withColumn("label", F.col("stockout_label").cast("int")))
+    )
+    names = ["train_acc", "train_f1", "valid_acc", "valid_f1", "valid_roc_auc"]
+    values = [F.get_json_object("metrics", f"$.{n}").cast("double").alias(n) for n in names]
+    return rounded(record.select(*values), 9)
+
+
 RUN_ID, VERSION_ID = (
     f"'{prefix}' || substr(md5('F|{STAMP}|{what}'), 1, 8)" for prefix, what in (("run_", "run"), ("mv_", "version"))
 )

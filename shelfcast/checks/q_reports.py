@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..plans import model as lr
 from ..plans import reports
-from ..schemas import GOLD_KEY
-from .q_model import stored_features
+from ..schemas import EVENT_KEY
+from .q_model import SCALED_SQL, WEIGHTS, model_of_given_weights, stored_features
 from .registry import query
 from .standins import GOLD_SQL, PREDICTIONS_SQL, gold_rows, prediction_rows, rounded
 
@@ -66,3 +68,31 @@ def availability_shift(spark, folder):
 def contributing_factors(spark, folder):
     rows = stored_features(spark, folder)
     return lr.contributing_factors(rows, lr.fit(rows))
+
+
+EFFECTS_SQL = " UNION ALL ".join(
+    f"SELECT store_id, product_id, event_date, '{name}' AS feature, {weight!r}::DOUBLE * {name} AS effect FROM scaled"
+    for name, weight in WEIGHTS.items()
+)
+
+
+@query(
+    "d6_factors_of_given_weights",
+    f"WITH {SCALED_SQL}, effects AS ({EFFECTS_SQL}), ranked AS (SELECT *, row_number() OVER (PARTITION BY "
+    "store_id, product_id, event_date ORDER BY -abs(effect), feature) AS n FROM effects) "
+    "SELECT store_id, product_id, event_date, "
+    + ", ".join(
+        f"max(CASE WHEN n = {i} THEN feature END) AS factor_{i}, "
+        f"round(max(CASE WHEN n = {i} THEN effect END), 6) AS effect_{i}"
+        for i in (1, 2, 3)
+    )
+    + " FROM ranked GROUP BY store_id, product_id, event_date",
+)
+def factors_of_given_weights(spark, folder):
+    rows = stored_features(spark, folder)
+    found = lr.contributing_factors(rows, model_of_given_weights(rows))
+    columns = []
+    for i in range(3):
+        factor = F.get("factors", F.lit(i))
+        columns += [factor["feature"].alias(f"factor_{i + 1}"), factor["effect"].alias(f"effect_{i + 1}")]
+    return rounded(found.select(*EVENT_KEY, *columns))

@@ -105,8 +105,11 @@ def predictions(features: DataFrame, model: StockoutModel) -> DataFrame:
 
 
 def evaluation(features: DataFrame, model: StockoutModel) -> DataFrame:
+    return evaluation_of(with_scores(prepared(features, "split"), model))
+
+
+def evaluation_of(scored: DataFrame) -> DataFrame:
     """One row: accuracy and F1 of both sides, ROC AUC of the later one."""
-    scored = with_scores(prepared(features, "split"), model)
     label, flag = "label", "predicted_stockout_flag"
     by_side = scored.groupBy("split").agg(accuracy(label, flag).alias("acc"), f1(label, flag).alias("f1"))
     rates = by_side.agg(
