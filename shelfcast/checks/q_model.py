@@ -220,11 +220,12 @@ RUN_ID, VERSION_ID = (
 
 @query(
     "m10_registry_rows",
-    f"SELECT {RUN_ID} AS run_id, {VERSION_ID} AS model_version_id, 'F' AS model_id, "
-    "lpad(CAST(arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR), 12, '0') AS dataset_id, "
-    """'{"model":"logistic_regression","scaler":"standard"}' AS params, """
-    "'train_acc,train_f1,valid_acc,valid_f1,valid_roc_auc' AS metric_names, "
-    "'success' AS run_status, 'candidate' AS version_status FROM orders WHERE o_orderstatus = 'F'",
+    f"""WITH latest AS (SELECT {RUN_ID} AS run_id, {VERSION_ID} AS version_id,
+  lpad(CAST(arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR), 12, '0') AS dataset_id,
+  'train_acc,train_f1,valid_acc,valid_f1,valid_roc_auc' AS metric_names FROM orders WHERE o_orderstatus = 'F')
+SELECT run_id AS id, 'F' AS model_id, dataset_id AS parent,
+  '{{"model":"logistic_regression","scaler":"standard"}}' AS params, metric_names, 'success' AS status FROM latest
+UNION ALL SELECT version_id, 'F', run_id, NULL, metric_names, 'candidate' FROM latest""",
 )
 def registry(spark, folder):
     """The dataset of each order status is its latest order; the model's one is looked up."""
@@ -237,15 +238,19 @@ def registry(spark, folder):
     )
     dataset_id = lr.latest_dataset(datasets.select(*DATASET.fieldNames()), "F")
     run, version = lr.registry_rows(metrics, "F", dataset_id, "predictions", STAMP)
-    return run.join(version, run.run_id == version.training_run_id).select(
-        "run_id",
-        "model_version_id",
-        run.model_id,
-        "dataset_id",
-        "params",
-        F.concat_ws(",", F.json_object_keys("metrics")).alias("metric_names"),
-        run.status.alias("run_status"),
-        version.status.alias("version_status"),
+    names = "concat_ws(',', json_object_keys({})) AS metric_names"
+    rows = run.selectExpr(
+        "run_id AS id", "model_id", "dataset_id AS parent", "params", names.format("metrics"), "status"
+    )
+    return rows.unionByName(
+        version.selectExpr(
+            "model_version_id AS id",
+            "model_id",
+            "training_run_id AS parent",
+            "CAST(NULL AS STRING) AS params",
+            names.format("metrics_json"),
+            "status",
+        )
     )
 
 

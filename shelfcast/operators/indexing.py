@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def _starts(totals: DataFrame, bucket: str, sums: Sequence[str]) -> DataFrame:
@@ -46,14 +46,20 @@ def dense_index(
     )
 
 
+def bucket_count(spark: SparkSession, least: int = 64, most: int = 10_000) -> int:
+    """A few buckets per shuffle partition, within what a list of borders may hold."""
+    return min(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), least), most)
+
+
 def sums_below(
-    df: DataFrame, order: str, sums: Sequence[str], buckets: int = 1024
+    df: DataFrame, order: str, sums: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Add ``below_<c>``: the sum of c over all rows with a smaller ``order``.
 
     ``order`` must be unique per row (group first: that also folds hot values). Bucket borders are
     approximate quantiles of the data, but the sums are exact for any borders. Runs one aggregate.
     """
+    buckets = buckets or bucket_count(df.sparkSession)
     shares = [i / buckets for i in range(1, buckets)]
     value = F.col(order).cast("double")
     borders = df.agg(F.percentile_approx(value, shares, 10 * buckets)).first()[0] if shares else None

@@ -21,6 +21,7 @@ MAX_ITERATIONS = 5000
 # What the registry rows say about a run.
 MODEL_NAME = "logistic_regression"
 SCALER_NAME = "standard"
+METRICS = ["train_acc", "train_f1", "valid_acc", "valid_f1", "valid_roc_auc"]
 RUN_STATUS = "success"
 VERSION_STATUS = "candidate"
 
@@ -120,9 +121,11 @@ def evaluation_of(scored: DataFrame) -> DataFrame:
         ]
     )
     auc = roc_auc(scored.filter(F.col("split") == "test"), label, "predicted_stockout_proba")
-    row = F.lit(1).alias("_row")  # two one-row frames, side by side
-    joined = rates.select("*", row).join(auc.select(F.col("roc_auc").alias("valid_roc_auc"), row), "_row")
-    return joined.drop("_row")
+    # One row each, stacked and folded into one: no join.
+    stacked = rates.unionByName(
+        auc.withColumnRenamed("roc_auc", "valid_roc_auc"), allowMissingColumns=True
+    )
+    return stacked.agg(*[F.max(name).alias(name) for name in METRICS])
 
 
 def metrics_json(evaluated: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the session names none (tests, local runs) a local folder is made and set.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="shelfcast-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -11,6 +11,8 @@ EXPECTED = entry.oracle_sql()
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(name, spark, duck, small):
     frame = entry.queries()[name](spark, small)
+    plan = frame._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     if name in EXPECTED:
         problem, _ = compare(frame, duck, EXPECTED[name])
         assert problem is None, problem
