@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .words import mixed, slices, written
 
 BLOCK = 32
-SHARD_WORDS = 20_000_000
+#: A source is cut into shards of at least so many words, and the corpus into at most MAX_SHARDS more
+#: shards than sources.
+SHARD_WORDS = 500_000
+MAX_SHARDS = 16_384
 #: A row counts as so many words when shards are sized, so that empty texts are spread as well.
 ROW_WORDS = 64
 MAX_SOURCES = 100_000
@@ -153,7 +156,7 @@ def mix(
     A null or empty text has size 0 and gives nothing. Repeated rows and null doc_ids are documents
     of their own. An empty table gives an empty plan. Sources are configuration: more than
     ``MAX_SOURCES`` of them raise an error. A large source has many shards, so no task depends on
-    one source; a shard holds about ``shard_words`` words whatever the corpus. Results depend on
+    one source; shards hold at least ``shard_words`` words. Results depend on
     doc_id, source and text alone, so reruns agree.
     """
     spark = docs.sparkSession
@@ -170,6 +173,8 @@ def mix(
     if not totals:
         return spark.createDataFrame([], PLAN)
     own = [r["size"] for r in totals]
+    load = sum(own) + ROW_WORDS * sum(r["rows"] for r in totals)
+    shard_words = max(shard_words, -(-load // MAX_SHARDS))
     targets = shares(own, [weights[i % len(weights)] for i in range(len(own))], share, most)
     seats = apportion(targets, round(sum(targets) / block))
     about = spark.createDataFrame(

@@ -6,12 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, toxicity
+from . import (
+    decontaminate,
+    html_paths,
+    line_dedup,
+    mixing,
+    pseudo_likelihood,
+    sketch_dedup,
+    substring_dedup,
+    toxicity,
+    url_rules,
+    vector_forest,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: Given host-path rules with their verdicts.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
 
 def query(name: str):
     def register(function: Query) -> Query:
@@ -25,12 +45,48 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_line_dedup")
+def line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 @query("op2_source_mix")
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix(table(spark, folder, "documents"), with_spans=False)
     return plan.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query("op3_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"), keep_text=False)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op4_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_paths.main_texts(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op5_near_copies")
+def near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch_dedup.near_copies(table(spark, folder, "documents"), n=4, percent=80)
+
+
+@query("op6_nearest_vectors")
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_forest.nearest(table(spark, folder, "embeddings"), k=20, every=20)
+
+
+@query("op7_url_rules")
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_rules.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op8_toxicity")
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -41,3 +97,15 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op9_repeated_passages")
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.without_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_pseudo_likelihood")
+def document_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudo_likelihood.pseudo_likelihood(docs)
