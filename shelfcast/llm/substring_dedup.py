@@ -114,11 +114,9 @@ def _suffix_rows(batches, window: int, seed: int) -> Iterator[pa.RecordBatch]:
         path, tail, doc, start = (np.concatenate(x) for x in (paths, tails, docs, starts))
         order = np.lexsort((start, doc, tail, path))
         path, tail, doc, start = path[order], tail[order], doc[order], start[order]
-        again = np.zeros(len(path), bool)
-        again[1:] = (path[1:] == path[:-1]) & (tail[1:] == tail[:-1])
-        # The same row twice is one document, not two.
-        again[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
-        fresh = ~again
+        fresh = np.ones(len(path), bool)
+        fresh[1:] = (path[1:] != path[:-1]) | (tail[1:] != tail[:-1])
+        again = later(fresh, doc, start)
         d, w, run = runs(doc[again], start[again])
         spread = mixed(d.astype(np.uint64) + (w.astype(np.uint64) << np.uint64(32)))
         both = lambda a, b: np.concatenate([a[fresh], b])
@@ -145,20 +143,33 @@ def runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return doc[at], start[at], start[last] - start[at] + 1 if len(at) else start[:0]
 
 
+def later(head: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Rows elsewhere than the head of their run; the same row twice is one document, not two."""
+    first = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+    return (doc != doc[first]) | (start != start[first])
+
+
 def _repeats(batches) -> Iterator[pa.RecordBatch]:
     """Sorted suffixes of a partition: windows of all but the first suffix of each deep node."""
-    before: tuple | None = None
+    node, place = None, (0, 0)
     for batch in batches:
         path, tail = unsigned(batch.column("path")), unsigned(batch.column("tail"))
         doc, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "start"))
         run = batch.column("run").to_numpy(zero_copy_only=False)
         if not len(path):
             continue
-        again = np.zeros(len(path), bool)
-        again[1:] = (path[1:] == path[:-1]) & (tail[1:] == tail[:-1])
-        if before is not None:
-            again[0] = (path[0], tail[0]) == before
-        before = (path[-1], tail[-1])
+        head = np.ones(len(path), bool)
+        head[1:] = (path[1:] != path[:-1]) | (tail[1:] != tail[:-1])
+        again = later(head, doc, start)
+        if (path[0], tail[0]) == node:  # goes on from the batch before
+            same = slice(0, int(np.append(np.flatnonzero(head)[1:], len(head))[0]))
+            again[same] = (doc[same] != place[0]) | (start[same] != place[1])
+        else:
+            place = (doc[0], start[0])
+        if head[1:].any():
+            last = int(np.flatnonzero(head)[-1])
+            place = (doc[last], start[last])
+        node = (path[-1], tail[-1])
         on = again & (run == 0)
         d, w, n = runs(doc[on], start[on])
         known = run > 0
