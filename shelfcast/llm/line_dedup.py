@@ -396,6 +396,7 @@ def without_repeated_lines(
     named = base.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     gone = repeated_lines(named, edits, shortest, few).groupBy("doc_id")
     gone = gone.agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    gone = written(docs.sparkSession, gone, "line-removed")
     rows = base.join(gone, "doc_id", "left")
     rows = rows.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     every = F.split("text", "\n", -1)

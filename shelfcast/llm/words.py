@@ -159,7 +159,12 @@ def unsigned(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: later jobs reread it instead of computing it again."""
+    """``df`` as a table in the shared folder: later jobs reread it instead of computing it again.
+
+    Spark deletes the shuffle files of a finished job once the driver's garbage collector has found
+    that nothing refers to them; asking for that here frees each step's disk before the next step.
+    """
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
