@@ -25,12 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .words import Slice, grams, mixed, signed, slices, unsigned, whole
+from .words import Slice, grams, mixed, signed, slices, whole, written
 
 WINDOW = 20
 SEED = 6
 
-_SUFFIX = "path long, tail long, doc_id long, start int, run int"
+#: ``path`` orders suffixes as their tree does and ends in half of the window's hash, ``tail`` is the
+#: other half; ``place`` packs the first word (high 32 bits) and, for windows already settled, how
+#: many follow each other from there.
+_SUFFIX = "path long, tail int, doc_id long, place long"
+_HALF = np.uint64(0xFFFFFFFF)
 
 
 def anchors(s: Slice, h: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,12 +127,11 @@ def _suffix_rows(batches, window: int, seed: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 signed(both(path, spread)),
-                signed(both(tail, spread)),
+                pa.array((both(tail, spread) & _HALF).astype(np.uint32).view(np.int32)),
                 pa.array(both(doc, d), pa.int64()),
-                pa.array(both(start, w), pa.int32()),
-                pa.array(np.concatenate([np.zeros(int(fresh.sum()), np.int64), run]), pa.int32()),
+                pa.array(np.concatenate([start[fresh] << 32, (w << 32) | run]), pa.int64()),
             ],
-            ["path", "tail", "doc_id", "start", "run"],
+            ["path", "tail", "doc_id", "place"],
         )
 
 
@@ -153,9 +156,10 @@ def _repeats(batches) -> Iterator[pa.RecordBatch]:
     """Sorted suffixes of a partition: windows of all but the first suffix of each deep node."""
     node, place = None, (0, 0)
     for batch in batches:
-        path, tail = unsigned(batch.column("path")), unsigned(batch.column("tail"))
-        doc, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "start"))
-        run = batch.column("run").to_numpy(zero_copy_only=False)
+        path, tail, doc, place_ = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "tail", "doc_id", "place")
+        )
+        start, run = place_ >> 32, place_ & 0xFFFFFFFF
         if not len(path):
             continue
         head = np.ones(len(path), bool)
@@ -198,12 +202,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
         .groupBy("doc_id")
         .agg(F.collect_set("word").alias("words"))
     )
+    spark = docs.sparkSession
     suffixes = (
-        docs.join(marks, "doc_id")
+        docs.join(written(spark, marks, "anchors"), "doc_id")
         .select("doc_id", "text", "words")
         .mapInArrow(lambda b: _suffix_rows(b, window, seed), _SUFFIX)
     )
-    trees = suffixes.repartitionByRange("path", "tail").sortWithinPartitions("path", "tail", "doc_id", "start")
+    trees = suffixes.repartitionByRange("path", "tail").sortWithinPartitions("path", "tail", "doc_id", "place")
     return trees.mapInArrow(_repeats, "doc_id long, start int, run int")
 
 
@@ -225,7 +230,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("start", "run")).alias("cuts"))
     )
-    # The same exchange of the texts serves both joins.
+    cuts = written(docs.sparkSession, cuts, "repeated-windows")
     with_cuts = named.join(cuts, "doc_id", "left").select("doc_id", "text", "cuts")
     nameless = docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))
 
