@@ -3,12 +3,12 @@
 Two lines within ``edits`` edits: if the shorter is cut into ``edits`` + 1 segments, one of them occurs
 in the longer, near its own place. Every line is indexed by its segments, with its length and the
 segment's number, and probes the index with its own substrings of the right places and lengths. Lines
-that meet under a key, and whose character parities allow so few edits, are compared by a banded
-bit-parallel edit distance.
+that meet under a key, and whose parities of characters and of character pairs allow so few edits, are
+compared by a banded bit-parallel edit distance.
 
 A line goes if an earlier one is that near, so a line needs one partner, not all: under a key each
-line meets its ``FEW`` earliest possible partners first, and only lines that had more of them and were
-not removed are probed again without that limit.
+line meets its ``FEW`` earliest possible partners first. The rows of keys where some line had more of
+them are set aside, and lines that were not removed meet the rest of their partners there.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.bounds import broadcast_if_small
 from .words import mixed, signed, unsigned, written
 
 EDITS = 2
@@ -30,6 +31,8 @@ _BASE = 0x2545F4914F6CDD1D
 _SLICE_CHARS = 1 << 20
 _PARITY_BITS = 31
 _BLOCK = 2048
+_ROW = ["key", "doc_id", "packed", "pairs"]
+_MET = "doc_a long, line_a int, doc_b long, line_b int, key long, packed long, pairs long"
 
 
 def lines_of(text: str) -> list[str]:
@@ -95,9 +98,10 @@ def _common(a: str, b: str) -> int:
 
 
 def signatures(lines: list[str], edits: int, shortest: int):
-    """(line, key, indexed) of all probes, and the character parities of the lines.
+    """(line, key, indexed) of all probes, and the lines' parities of characters and character pairs.
 
-    ``indexed``: the row is the line's own segment as well as a probe for lines of its length.
+    ``indexed``: the row is the line's own segment as well as a probe for lines of its length. An edit
+    changes at most two bits of the first parity, and four of the second.
     """
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     length = np.array([len(x) for x in lines], np.int64)
@@ -110,11 +114,15 @@ def signatures(lines: list[str], edits: int, shortest: int):
     steps, back = np.multiply.accumulate(steps), np.multiply.accumulate(back)
     total = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(spread * steps[:-1], out=total[1:])
-    parity = np.zeros(len(lines), np.uint64)
+    parity, pairs = np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
     some = length > 0
     if some.any():
         bit = np.uint64(1) << (spread % np.uint64(_PARITY_BITS))
         parity[some] = np.bitwise_xor.reduceat(bit, start[:-1][some])
+        bit = np.uint64(1) << (mixed(spread[:-1] * np.uint64(3) + spread[1:]) & np.uint64(63))
+        bit = np.append(bit, np.uint64(0))
+        bit[start[1:][some] - 1] = 0  # pairs across lines
+        pairs[some] = np.bitwise_xor.reduceat(bit, start[:-1][some])
     who, keys, own = [], [], []
     for shorter in range(edits + 1):
         size = length - shorter
@@ -132,7 +140,7 @@ def signatures(lines: list[str], edits: int, shortest: int):
                 who.append(line)
                 keys.append(key)
                 own.append(np.full(len(line), shorter == 0 and shift == 0))
-    return np.concatenate(who), np.concatenate(keys), np.concatenate(own), parity
+    return np.concatenate(who), np.concatenate(keys), np.concatenate(own), parity, pairs
 
 
 def _line_rows(batches, shortest: int) -> Iterator[pa.RecordBatch]:
@@ -166,7 +174,8 @@ def _line_rows(batches, shortest: int) -> Iterator[pa.RecordBatch]:
 
 
 def _signature_rows(batches, edits: int, shortest: int) -> Iterator[pa.RecordBatch]:
-    """key, doc_id and the packed line number (32 bits), parity (31) and whether it is indexed (1)."""
+    """key, doc_id, the packed line number (32 bits), parity (31) and whether it is indexed (1), and
+    the parity of pairs."""
     for batch in batches:
         texts, wanted = batch.column("text").to_pylist(), batch.column("lines").to_pylist()
         at = full = 0
@@ -183,121 +192,130 @@ def _signature_rows(batches, edits: int, shortest: int) -> Iterator[pa.RecordBat
                     full += len(every[n])
             at += 1
             if lines and (full >= _SLICE_CHARS or at == len(texts)):
-                line, key, own_row, parity = signatures(lines, edits, shortest)
+                line, key, own_row, parity, pairs = signatures(lines, edits, shortest)
                 packed = (
                     (np.array(numbers, np.uint64)[line] << np.uint64(32))
                     | (parity[line] << np.uint64(1))
                     | own_row.astype(np.uint64)
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [signed(key), pa.array(np.array(docs, np.int64)[line]), signed(packed)],
-                    ["key", "doc_id", "packed"],
+                    [signed(key), pa.array(np.array(docs, np.int64)[line]), signed(packed), signed(pairs[line])],
+                    _ROW,
                 )
                 docs, numbers, lines, full = [], [], [], 0
 
 
-def _meet(doc, packed, edits: int, few: int | None):
-    """Pairs (later, earlier) of one key's rows; ``crowded``: later lines with more partners left."""
+def _meet(doc, packed, pairs, late, edits: int, few: int | None):
+    """Pairs (later, earlier) of one key's rows; ``crowded``: later rows with more partners left.
+
+    ``late`` marks the rows that look for a partner.
+    """
     line = packed >> np.uint64(32)
     parity = (packed >> np.uint64(1)) & np.uint64((1 << _PARITY_BITS) - 1)
-    indexed = np.flatnonzero(packed & np.uint64(1))
-    order = np.lexsort((line[indexed], doc[indexed]))
-    indexed = indexed[order]
-    late, early, crowded = [], [], []
-    for begin in range(0, len(doc), _BLOCK):
-        probe = np.arange(begin, min(begin + _BLOCK, len(doc)))
-        left = np.full(len(probe), few if few else 0)
-        for part in range(0, len(indexed), _BLOCK):
-            own = indexed[part : part + _BLOCK]
-            differ = np.bitwise_count(parity[probe][:, None] ^ parity[own][None, :])
-            before = (doc[own][None, :] < doc[probe][:, None]) | (
-                (doc[own][None, :] == doc[probe][:, None]) & (line[own][None, :] < line[probe][:, None])
-            )
-            equal = (doc[own][None, :] == doc[probe][:, None]) & (line[own][None, :] == line[probe][:, None])
-            near = (differ <= 2 * edits) & ~equal
-            a, b = np.nonzero(near & before)
+    order = np.lexsort((line, doc))
+    rank = np.empty(len(doc), np.int64)  # of equal lines the same
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])
+    rank[order] = np.cumsum(fresh)
+    order = order[late[order]]
+    indexed = (packed & np.uint64(1)) == 1
+    found, partner, crowded = [], [], []
+    every = np.argsort(rank, kind="stable")
+    for begin in range(0, len(order), _BLOCK):
+        own = order[begin : begin + _BLOCK]
+        left = np.full(len(own), few or 0)
+        for part in range(0, len(every), _BLOCK):
+            other = every[part : part + _BLOCK]
+            if rank[other[0]] >= rank[own[-1]]:
+                break
+            near = rank[other][None, :] < rank[own][:, None]
+            near &= indexed[own][:, None] | indexed[other][None, :]
+            near &= np.bitwise_count(parity[own][:, None] ^ parity[other][None, :]) <= 2 * edits
+            near &= np.bitwise_count(pairs[own][:, None] ^ pairs[other][None, :]) <= 4 * edits
+            a, b = np.nonzero(near)
             if few:
-                # The earliest partners of each probe, over all parts.
                 seen = np.arange(len(a)) - np.searchsorted(a, a)
                 keep = seen < left[a]
-                crowded.append(probe[np.unique(a[~keep])])
-                left = np.maximum(left - np.bincount(a, minlength=len(probe)), 0)
-                a, b = a[keep], b[keep]
-            late.append(probe[a])
-            early.append(own[b])
-            # Indexed lines that are later than the probe, with their earliest probes.
-            b, a = np.nonzero((near & ~before).T)
-            if few:
-                seen = np.arange(len(b)) - np.searchsorted(b, b)
-                keep = seen < few
-                crowded.append(own[np.unique(b[~keep])])
+                crowded.append(own[np.unique(a[~keep])])
+                left = np.maximum(left - np.bincount(a, minlength=len(own)), 0)
                 a, b = a[keep], b[keep]
-            late.append(own[b])
-            early.append(probe[a])
+            found.append(own[a])
+            partner.append(other[b])
     none = np.zeros(0, np.int64)
-    return np.concatenate(late), np.concatenate(early), np.concatenate(crowded) if crowded else none
+    join = lambda x: np.concatenate(x) if x else none
+    return join(found), join(partner), join(crowded)
 
 
 def _pair_rows(batches, edits: int, few: int | None) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: the pairs that meet under each key. A key's rows are held together."""
+    """Rows sorted by key: the pairs that meet under each key, the lines that had too many partners
+    (no partner, no key), and all rows of those keys (no partner). A key's rows are held together."""
     rest = None
-    names = ["doc_a", "line_a", "doc_b", "line_b"]
 
-    def pairs(key, doc, packed):
+    def table(doc_a, line_a, doc_b=None, line_b=None, key=None, packed=None, pairs=None) -> pa.Table:
+        n = len(doc_a)
+        fill = lambda x, kind: pa.nulls(n, kind) if x is None else pa.array(x, kind)
+        as_long = lambda x: None if x is None else x.view(np.int64)
+        return pa.table(
+            {
+                "doc_a": pa.array(doc_a, pa.int64()),
+                "line_a": pa.array(line_a, pa.int32()),
+                "doc_b": fill(doc_b, pa.int64()),
+                "line_b": fill(line_b, pa.int32()),
+                "key": fill(as_long(key), pa.int64()),
+                "packed": fill(as_long(packed), pa.int64()),
+                "pairs": fill(as_long(pairs), pa.int64()),
+            }
+        )
+
+    def groups(key, doc, packed, pairs, late):
+        if not len(key):
+            return
         head = np.ones(len(key), bool)
         head[1:] = key[1:] != key[:-1]
         at = np.append(np.flatnonzero(head), len(key))
-        owns = np.add.reduceat((packed & np.uint64(1)).astype(np.int64), at[:-1]) if len(key) else at[:0]
-        out = [[], []]
-        extra = []
-        for g in np.flatnonzero((np.diff(at) > 1) & (owns > 0)):
-            lo, hi = at[g], at[g + 1]
-            a, b, more = _meet(doc[lo:hi], packed[lo:hi], edits, few)
-            out[0].append(lo + a)
-            out[1].append(lo + b)
-            extra.append(lo + more)
-        if not extra:
-            return
-        a, b, more = np.concatenate(out[0]), np.concatenate(out[1]), np.concatenate(extra)
+        owns = np.add.reduceat((packed & np.uint64(1)).astype(np.int64), at[:-1])
         line = (packed >> np.uint64(32)).astype(np.int32)
-        table = pa.table(
-            {
-                "doc_a": doc[a], "line_a": line[a], "doc_b": doc[b], "line_b": line[b],
-            }
-        )
-        marks = pa.table(
-            {
-                "doc_a": doc[more], "line_a": line[more],
-                "doc_b": pa.nulls(len(more), pa.int64()), "line_b": pa.nulls(len(more), pa.int32()),
-            }
-        )
-        yield from pa.concat_tables([table, marks]).select(names).to_batches()
+        out, marks, whole = ([], []), [], []
+        for g in np.flatnonzero((np.diff(at) > 1) & (owns > 0)):
+            own = slice(at[g], at[g + 1])
+            a, b, more = _meet(doc[own], packed[own], pairs[own], late[own], edits, few)
+            out[0].append(at[g] + a)
+            out[1].append(at[g] + b)
+            if len(more):
+                marks.append(at[g] + more)
+                whole.append(np.arange(at[g], at[g + 1]))
+        if out[0]:
+            a, b = (np.concatenate(x) for x in out)
+            yield from table(doc[a], line[a], doc[b], line[b]).to_batches()
+        if marks:
+            x, y = np.concatenate(marks), np.concatenate(whole)
+            yield from table(doc[x], line[x]).to_batches()
+            yield from table(doc[y], line[y], None, None, key[y], packed[y], pairs[y]).to_batches()
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        key = unsigned(batch.column("key"))
-        doc = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        packed = unsigned(batch.column("packed"))
+        own = (
+            unsigned(batch.column("key")),
+            batch.column("doc_id").to_numpy(zero_copy_only=False),
+            unsigned(batch.column("packed")),
+            unsigned(batch.column("pairs")),
+            batch.column("late").to_numpy(zero_copy_only=False),
+        )
         if rest is not None:
-            key, doc, packed = (np.concatenate(x) for x in zip(rest, (key, doc, packed)))
-        cut = int(np.searchsorted(key.view(np.int64), key.view(np.int64)[-1], side="left"))
-        yield from pairs(key[:cut], doc[:cut], packed[:cut])
-        rest = key[cut:], doc[cut:], packed[cut:]
+            own = tuple(np.concatenate(x) for x in zip(rest, own))
+        order = own[0].view(np.int64)
+        cut = int(np.searchsorted(order, order[-1], side="left"))
+        yield from groups(*(x[:cut] for x in own))
+        rest = tuple(x[cut:] for x in own)
     if rest is not None:
-        yield from pairs(*rest)
+        yield from groups(*rest)
 
 
-def _met(named: DataFrame, firsts: DataFrame, edits: int, shortest: int, few: int | None) -> DataFrame:
-    own = firsts.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    rows = named.join(own, "doc_id").select("doc_id", "text", "lines")
-    keyed = rows.mapInArrow(
-        lambda b: _signature_rows(b, edits, shortest), "key long, doc_id long, packed long"
-    )
-    sorted_ = keyed.repartition("key").sortWithinPartitions("key")
-    return sorted_.mapInArrow(
-        lambda b: _pair_rows(b, edits, few), "doc_a long, line_a int, doc_b long, line_b int"
-    ).distinct()
+def _met(rows: DataFrame, edits: int, few: int | None) -> DataFrame:
+    """Pairs and set-aside rows of signature rows with ``late``."""
+    sorted_ = rows.repartition("key").sortWithinPartitions("key")
+    return sorted_.mapInArrow(lambda b: _pair_rows(b, edits, few), _MET).distinct()
 
 
 def _verified(pairs: DataFrame, named: DataFrame, edits: int) -> DataFrame:
@@ -306,6 +324,9 @@ def _verified(pairs: DataFrame, named: DataFrame, edits: int) -> DataFrame:
         pairs.select("doc_b", "line_b")
     )
     own = needed.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    own = written(named.sparkSession, own, "line-needed")
+    # Texts of other documents stay where they are, if the ids are measured to be few.
+    named = named.join(broadcast_if_small(own.select("doc_id")), "doc_id", "left_semi")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,19 +380,25 @@ def repeated_lines(named: DataFrame, edits: int = EDITS, shortest: int = MIN_CHA
     least = F.min(F.struct("doc_id", "line")).over(Window.partitionBy("digest"))
     placed = found.withColumn("again", F.col("known") | (least < F.struct("doc_id", "line")))
     placed = written(spark, placed.select("doc_id", "line", "again"), "lines")
-    firsts = placed.where("NOT again")
-    met = written(spark, _met(named, firsts, edits, shortest, few), "line-pairs")
-    pairs = met.where("doc_b IS NOT NULL")
+    firsts = placed.where("NOT again").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    signed_ = named.join(firsts, "doc_id").select("doc_id", "text", "lines").mapInArrow(
+        lambda b: _signature_rows(b, edits, shortest), "key long, doc_id long, packed long, pairs long"
+    )
+    met = written(spark, _met(signed_.withColumn("late", F.lit(True)), edits, few), "line-pairs")
+    pairs = met.where("doc_b IS NOT NULL").select("doc_a", "line_a", "doc_b", "line_b")
     near = written(spark, _verified(pairs, named, edits), "line-near")
-    crowded = met.where("doc_b IS NULL").select(F.col("doc_a").alias("doc_id"), F.col("line_a").alias("line"))
+    crowded = met.where("doc_b IS NULL AND key IS NULL")
+    crowded = crowded.select(F.col("doc_a").alias("doc_id"), F.col("line_a").alias("line"))
     open_ = written(spark, crowded.join(near, ["doc_id", "line"], "left_anti").distinct(), "line-open")
     if not open_.isEmpty():
-        rest = _met(named, firsts, edits, shortest, None)
-        late = open_.select(F.col("doc_id").alias("doc_a"), F.col("line").alias("line_a"))
-        rest = rest.join(late, ["doc_a", "line_a"], "left_semi").join(
-            pairs, ["doc_a", "line_a", "doc_b", "line_b"], "left_anti"
+        aside = met.where("key IS NOT NULL").select(
+            "key", F.col("doc_a").alias("doc_id"), F.col("line_a").alias("line"), "packed", "pairs"
         )
-        near = near.union(_verified(written(spark, rest, "line-rest"), named, edits)).distinct()
+        late = open_.withColumn("late", F.lit(True))
+        aside = aside.join(late, ["doc_id", "line"], "left").withColumn("late", F.coalesce("late", F.lit(False)))
+        rest = _met(aside.select(*_ROW, "late"), edits, None).select(*pairs.columns)
+        rest = written(spark, rest.join(pairs, pairs.columns, "left_anti"), "line-rest")
+        near = near.union(_verified(rest, named, edits)).distinct()
     return placed.where("again").select("doc_id", "line").union(near)
 
 

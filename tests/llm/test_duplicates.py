@@ -61,11 +61,12 @@ def test_near_lines_share_a_key(seed, edits, length):
     rng = random.Random(seed)
     a = "".join(rng.choice("abcd é") for _ in range(length))
     b = edited(rng, a, rng.randint(0, edits))
-    line, key, own, parity = line_dedup.signatures([a, b], edits, 4)
+    line, key, own, parity, pairs = line_dedup.signatures([a, b], edits, 4)
     probes = [set(key[line == i].tolist()) for i in (0, 1)]
     index = [set(key[(line == i) & own].tolist()) for i in (0, 1)]
     assert probes[0] & index[1] or probes[1] & index[0]
     assert (int(parity[0]) ^ int(parity[1])).bit_count() <= 2 * edits
+    assert (int(pairs[0]) ^ int(pairs[1])).bit_count() <= 4 * edits
 
 
 def lines_brute(rows, edits=2, shortest=20):
