@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import casting, flags, numeric, text
@@ -133,6 +135,20 @@ def current_time(spark, folder):
     )
 
 
+@query("f11_stamp_of_the_run", "SELECT p_partkey, TRUE AS in_time, TRUE AS text_agrees FROM part")
+def stamp_of_the_run(spark, folder):
+    """The stamp is not before the run's start nor more than a day later; its text is the same second."""
+    start = dt.datetime.now(dt.timezone.utc)
+    rows = current_time(spark, folder)
+    stamp = F.col("load_timestamp")
+    text = F.to_timestamp("ingested_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return rows.select(
+        "p_partkey",
+        ((stamp >= F.lit(start)) & (stamp < F.lit(start + dt.timedelta(days=1)))).alias("in_time"),
+        (text == F.date_trunc("second", stamp)).alias("text_agrees"),
+    )
+
+
 @query(
     "f12_date_arithmetic",
     "SELECT l_orderkey, CAST(l_shipdate AS DATE) + 7 AS next_week, CAST(l_shipdate AS DATE) - 6 AS week_start, "

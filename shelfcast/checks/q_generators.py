@@ -219,6 +219,14 @@ def price_snapshot_rows(spark, folder):
     return price_snapshot(search_rows(spark, folder))
 
 
+@query("g5_price_unparsable_date", f"WITH {SEARCH_SQL}, {PRICES_SQL} SELECT * FROM prices")
+def price_snapshot_beside_unreadable_times(spark, folder):
+    """Old priced rows whose time cannot be read change nothing."""
+    rows = search_rows(spark, folder)
+    unread = rows.withColumn("record_date", F.lit("unknown")).withColumn("load_date", F.lit("2000-01-01"))
+    return price_snapshot(rows.unionByName(unread))
+
+
 @query(
     "g6_cart_threshold",
     f"SELECT p_partkey, {sql_threshold()} AS threshold FROM "
@@ -369,6 +377,108 @@ def fulfillment_loader(spark, folder):
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+SHARES_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, {c} AS value, round(count(*) / sum(count(*)) OVER (), 9) AS share "
+    f"FROM lineitem GROUP BY {c}"
+    for c in ("l_returnflag", "l_linestatus")
+)
+
+
+@query("g10_category_shares", SHARES_SQL)
+def category_shares(spark, folder):
+    """The fitted shares of categories, as steps of their cumulative shares."""
+    model = fit_copula(table(spark, folder, "lineitem"), [], ["l_returnflag", "l_linestatus"])
+    rows = [
+        (m.name, value, high - low)
+        for m in model.marginals
+        for value, low, high in zip(m.categories, [0.0, *m.reached], m.reached)
+    ]
+    fitted = spark.createDataFrame(rows, "name string, value string, share double")
+    return fitted.withColumn("share", F.round("share", 9))
+
+
+@query(
+    "g10_quantile_ranks",
+    "SELECT name, CAST(i AS INT) AS position, TRUE AS near, n.rows FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in MEASURES)
+    + ") t(name), generate_series(0, 200) s(i), (SELECT count(*) AS rows FROM lineitem) n",
+)
+def quantile_ranks(spark, folder):
+    """Each fitted quantile has its rank in the table, within the stated error of the quantile sketch."""
+    lines = table(spark, folder, "lineitem")
+    cells = []
+    for m in fit_copula(lines, MEASURES).marginals:
+        for i, q in enumerate(m.quantiles):
+            value, n = F.col(m.name), F.count(F.lit(1))
+            below, upto = (F.sum(c.cast("int")) / n for c in (value < q, value <= q))
+            near = (below <= i / 200 + 2e-4) & (upto >= i / 200 - 2e-4)
+            cells.append(
+                F.struct(F.lit(m.name).alias("name"), F.lit(i).alias("position"), near.alias("near"), n.alias("rows"))
+            )
+    return lines.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+def closeness(sample, lines, names):
+    """A row a column: how many rows were sampled, and whether mean, deviation and relation fit."""
+    def stats(df):
+        values = [f(c) for c in names for f in (F.avg, F.stddev_pop)]
+        pairs = [F.corr(a, b) for a, b in zip(names, [*names[1:], names[0]])]
+        return list(df.agg(F.count(F.lit(1)), *values, *pairs).first())
+
+    (n, *got), (_, *real) = stats(sample), stats(lines)
+    rows = []
+    for i, name in enumerate(names):
+        scale = real[2 * i + 1] or 1.0
+        mean = abs(got[2 * i] - real[2 * i]) <= 0.1 * scale
+        spread = abs(got[2 * i + 1] - real[2 * i + 1]) <= 0.1 * scale
+        relation = abs(got[2 * len(names) + i] - real[2 * len(names) + i]) <= 0.1
+        rows.append((name, n, bool(mean), bool(spread), bool(relation)))
+    return sample.sparkSession.createDataFrame(
+        rows, "name string, rows long, mean_fits boolean, spread_fits boolean, relation_fits boolean"
+    )
+
+
+def closeness_sql(names):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS name, count(*) AS rows, TRUE AS mean_fits, TRUE AS spread_fits, TRUE AS relation_fits "
+        "FROM lineitem"
+        for c in names
+    )
+
+
+@query("g11_sample_fits", closeness_sql(MEASURES))
+def sample_fits(spark, folder):
+    return closeness(copula_sample(spark, folder), table(spark, folder, "lineitem"), MEASURES)
+
+
+@query("g12_mixed_sample_fits", closeness_sql([*MEASURES, "l_linenumber"]))
+def mixed_sample_fits(spark, folder):
+    names = [*MEASURES, "l_linenumber"]
+    return closeness(mixed_copula_sample(spark, folder), table(spark, folder, "lineitem"), names)
+
+
+@query(
+    "g12_many_categories",
+    "SELECT count(*) AS rows, TRUE AS all_known, TRUE AS most_seen FROM lineitem",
+)
+def many_categories(spark, folder):
+    """A column of thousands of codes, kept as a table, beside a day and a number."""
+    lines = table(spark, folder, "lineitem").select(
+        F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("code"),
+        F.col("l_shipdate").cast("date").alias("day"),
+        "l_quantity",
+    )
+    model = fit_copula(lines, ["l_quantity"], ["code"], listed=100, datetimes=["day"])
+    sample = sample_copula(spark, model, lines.count())
+    codes = lines.select("code").distinct()
+    marked = sample.join(codes.withColumn("known", F.lit(True)), "code", "left")
+    return marked.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.every(F.coalesce("known", F.lit(False))).alias("all_known"),
+        (F.count_distinct("code") >= 0.8 * codes.count()).alias("most_seen"),
+    )
+
+
 @query("g10_copula_fit")
 def copula_fit(spark, folder):
     """The fitted correlation of each pair of columns."""

@@ -122,6 +122,27 @@ def logistic_regression(spark, folder):
     return spark.createDataFrame(rows, "term string, weight double")
 
 
+@query(
+    "m6_gradient_at_the_fit",
+    f"WITH {SCALED_SQL} SELECT t.term, 0.0 AS gradient, n.rows FROM (VALUES "
+    + ", ".join(f"('{name}')" for name in [*FEATURES, "intercept"])
+    + ") t(term), (SELECT count(*) AS rows FROM prepared WHERE split = 'train') n",
+)
+def gradient_at_the_fit(spark, folder):
+    """The problem is convex: the weights are right where the penalised loss has no slope."""
+    rows = stored_features(spark, folder).filter(F.col("split") == "train")
+    model = lr.fit(rows)
+    train = prepared(rows)
+    miss = model.probability() - F.col("label")
+    slopes = [F.sum(miss * model.scaler.scaled(i)) + F.lit(w) for i, w in enumerate(model.coefficients)]
+    n = F.count(F.lit(1))
+    terms = [
+        F.struct(F.lit(name).alias("term"), F.round(F.abs(slope / n), 4).alias("gradient"), n.alias("rows"))
+        for name, slope in zip([*FEATURES, "intercept"], [*slopes, F.sum(miss)], strict=True)
+    ]
+    return train.agg(F.array(*terms).alias("terms")).select(F.inline("terms"))
+
+
 @query("m7_probability_and_flag")
 def probability_and_flag(spark, folder):
     rows = stored_features(spark, folder)
@@ -348,8 +369,11 @@ RUN_COLUMNS = [
 ]
 
 
-def whole_run(spark, folder):
-    """Every region a store, every part a product; a day's run into tables of its own."""
+def whole_run(spark, folder, times=1):
+    """Every region a store, every part a product; a day's run into tables of its own.
+
+    ``times``: run so often, incrementally, as of the same time.
+    """
     region = table(spark, folder, "region")
     store_data = region.select(
         F.col("r_regionkey").cast("string").alias("store_id"),
@@ -359,15 +383,19 @@ def whole_run(spark, folder):
         F.lit("").alias("postal_code"),
     )
     keyword = spark.createDataFrame([KEYWORD], "keyword string, region string")
-    return run_all(
-        Run(spark, fresh_path(spark, "run"), fresh_name("run"), NOW),
-        seed_products(spark, folder),
-        store_data,
-        region.select(F.col("r_regionkey").cast("long").alias("store_id")),
-        None,
-        generated_trends(keyword, NOW.date(), NOW),
-        **TEXTS,
-    )
+    run = Run(spark, fresh_path(spark, "run"), fresh_name("run"), NOW)
+    for _ in range(times):
+        written = run_all(
+            run,
+            seed_products(spark, folder),
+            store_data,
+            region.select(F.col("r_regionkey").cast("long").alias("store_id")),
+            None,
+            generated_trends(keyword, NOW.date(), NOW),
+            incremental=times > 1,
+            **TEXTS,
+        )
+    return written
 
 
 @query(
@@ -377,3 +405,12 @@ def whole_run(spark, folder):
 def end_to_end(spark, folder):
     """The gold table of the whole run (its alerts depend on the fitted model)."""
     return rounded(whole_run(spark, folder)["gold"].select(*RUN_COLUMNS))
+
+
+@query(
+    "m14_incremental_rerun",
+    f"WITH {search_sql('region', 'r_regionkey')}, {PRICES_SQL}, {RUN_SQL} SELECT {shown(RUN_COLUMNS)} FROM gold",
+)
+def incremental_rerun(spark, folder):
+    """The same run twice: the second takes the incremental route, and adds and changes nothing."""
+    return rounded(whole_run(spark, folder, times=2)["gold"].select(*RUN_COLUMNS))

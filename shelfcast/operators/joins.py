@@ -25,12 +25,18 @@ def left_join(fact: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFram
 def hot_keys(fact: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more rows than a task's fair share, and into how many parts to cut each.
 
-    There are fewer of them than shuffle partitions, by the definition of the share. Runs a count.
+    There are fewer of them than shuffle partitions, by the definition of the share. One aggregate
+    gives the total and the keys with more than ``hot_rows`` rows, of which there are at most
+    total / hot_rows.
     """
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(fact.count() / partitions, hot_rows)
-    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > share)
-    return counted.select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_parts"))
+    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = F.when(F.col("_n") > hot_rows, F.struct(*keys, "_n"))
+    row = counted.agg(F.sum("_n").alias("total"), F.collect_list(large).alias("large"))
+    share = F.greatest(F.col("total") / partitions, F.lit(float(hot_rows)))
+    found = row.select(share.alias("_share"), F.explode("large").alias("_key")).select("_share", "_key.*")
+    hot = found.filter(F.col("_n") > F.col("_share"))
+    return hot.select(*keys, F.ceil(F.col("_n") / F.col("_share")).cast("int").alias("_parts"))
 
 
 def salted_left_join(
@@ -44,7 +50,7 @@ def salted_left_join(
 
     The rows of a hot key are dealt into parts of a task's share each, and the key's side rows are
     repeated for every part; all other keys join as they are. ``counted`` is a cheaper frame with the
-    fact's keys to count. Without hot keys this is the plain join. Runs two aggregates over the keys.
+    fact's keys to count. Without hot keys this is the plain join. Runs one aggregate over the keys.
     """
     keys = list(keys)
     found = hot_keys((fact if counted is None else counted).select(*keys), keys, hot_rows)
@@ -88,14 +94,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def store_grid(
-    products: DataFrame, stores: DataFrame | Sequence[int], chunks: int = GRID_CHUNKS
+    products: DataFrame, stores: DataFrame | Sequence[int], chunks: int | None = None
 ) -> DataFrame:
     """Every store's copy of every product row: the assortment grid.
 
     A store list (a parameter of a few values) is exploded next to each product, with no join. A
     store table is split into chunks by store, each product row is repeated once per chunk, and the
-    two meet by an equi join on the chunk; small store tables are broadcast after a size check.
+    two meet by an equi join on the chunk; small store tables are broadcast after a size check. There
+    are as many chunks as shuffle partitions, and ``GRID_CHUNKS`` at least.
     """
+    if chunks is None:
+        chunks = max(GRID_CHUNKS, int(products.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if not isinstance(stores, DataFrame):
         listed = F.array(*[F.lit(s) for s in stores])
         return spread(products).select(F.explode(listed).alias("store_id"), *products.columns)

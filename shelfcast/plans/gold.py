@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.casting import hard_int, try_date, try_double, try_timestamp
 from ..functions.flags import out_of_stock, parse_flag
 from ..operators.filters import all_known
 from ..operators.series import (
+    HORIZON_DAYS,
+    ROLLING_ROWS,
     change_over,
     horizon_frame,
     latest_per_key,
@@ -16,6 +21,7 @@ from ..operators.series import (
     with_windows,
 )
 from ..schemas import GOLD_KEY, SERIES_KEY
+from .silver import LOAD_TIME
 
 # The columns of the gold table, in order.
 GOLD_COLUMNS = [
@@ -62,6 +68,9 @@ GOLD_COLUMNS = [
     "gold_load_ts",
 ]
 
+#: Days before the changed ones in which the rolling windows' rows are looked for first.
+LOOKBACK_DAYS = 28
+
 NUMBERS = [
     "price",
     "current_retail_min",
@@ -93,7 +102,11 @@ TEXTS = [
 
 
 def daily_rows(silver: DataFrame) -> DataFrame:
-    """Typed silver rows, the latest load of each store, product and day."""
+    """Typed silver rows, the latest load of each store, product and day.
+
+    Where silver carries the facts' own load times, the newest observation wins.
+    """
+    loaded = [LOAD_TIME] if LOAD_TIME in silver.columns else []
     typed = silver.filter(all_known("store_id", "product_id", "record_date")).select(
         hard_int("store_id").alias("store_id"),
         hard_int("product_id").alias("product_id"),
@@ -105,8 +118,10 @@ def daily_rows(silver: DataFrame) -> DataFrame:
         try_date("max_delivery_date").alias("max_delivery_date"),
         try_timestamp("cutoff_time").alias("cutoff_time"),
         "silver_load_ts",
+        *loaded,
     )
-    return latest_per_key(typed, GOLD_KEY, ["silver_load_ts"])
+    newest = [*loaded, "silver_load_ts"]
+    return latest_per_key(typed, GOLD_KEY, newest).drop(LOAD_TIME)
 
 
 def gold_columns(series: WindowSpec, censor_empty: bool = False) -> dict[str, Column]:
@@ -127,6 +142,16 @@ def gold_columns(series: WindowSpec, censor_empty: bool = False) -> dict[str, Co
     }
 
 
+def featured_days(days: DataFrame, load_ts: Column, censor_empty: bool = False) -> DataFrame:
+    """Gold rows of daily rows."""
+    featured = with_windows(days, SERIES_KEY, "ds", lambda series: gold_columns(series, censor_empty))
+    return (
+        featured.withColumn("listed_price", F.col("price"))
+        .withColumn("gold_load_ts", load_ts)
+        .select(*GOLD_COLUMNS)
+    )
+
+
 def gold(silver: DataFrame, load_ts: Column, censor_empty: bool = False) -> DataFrame:
     """The gold table.
 
@@ -134,11 +159,49 @@ def gold(silver: DataFrame, load_ts: Column, censor_empty: bool = False) -> Data
     remaining rows, one per day, to their series. A series is as long as the calendar, whatever
     share of the raw rows it had.
     """
-    featured = with_windows(
-        daily_rows(silver), SERIES_KEY, "ds", lambda series: gold_columns(series, censor_empty)
+    return featured_days(daily_rows(silver), load_ts, censor_empty)
+
+
+def gold_of_days(
+    silver: DataFrame,
+    gold_rows: DataFrame,
+    days: Sequence[dt.date],
+    load_ts: Column,
+    lookback_days: int = LOOKBACK_DAYS,
+    censor_empty: bool = False,
+) -> DataFrame:
+    """The gold rows to replace after the silver rows of ``days`` have changed: whole days.
+
+    A changed day alters the label of the ``HORIZON_DAYS`` before it and the windows of the rows
+    after it, so everything from ``HORIZON_DAYS`` before the first changed day on is made again, for
+    the series that have a row in ``days``; other series keep their rows. Both tables are partitioned
+    by day, so older days are read for the ``ROLLING_ROWS`` rows before that only: from the last
+    ``lookback_days`` days, and for a series with fewer rows there from all days before.
+    """
+    first = min(days) - dt.timedelta(days=HORIZON_DAYS)
+    edge = first - dt.timedelta(days=lookback_days)
+    touched = (
+        silver.filter(F.col("record_date").isin(list(days)) & all_known("store_id", "product_id"))
+        .select(*[hard_int(c).alias(c) for c in SERIES_KEY])
+        .distinct()
     )
-    return (
-        featured.withColumn("listed_price", F.col("price"))
-        .withColumn("gold_load_ts", load_ts)
-        .select(*GOLD_COLUMNS)
+    fresh = daily_rows(silver.filter(F.col("record_date") >= F.lit(first)))
+    fresh = fresh.join(touched, SERIES_KEY, "left_semi")
+    columns = fresh.columns
+    old = gold_rows.select(*columns)
+    near = old.filter((F.col("ds") < F.lit(first)) & (F.col("ds") >= F.lit(edge))).join(
+        touched, SERIES_KEY, "left_semi"
+    )
+    enough = near.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= ROLLING_ROWS)
+    short = touched.join(enough.select(*SERIES_KEY), SERIES_KEY, "left_anti")
+    far = old.filter(F.col("ds") < F.lit(edge)).join(short, SERIES_KEY, "left_semi")
+    newest = Window.partitionBy(*SERIES_KEY).orderBy(F.col("ds").desc())
+    before = (
+        near.unionByName(far)
+        .withColumn("_back", F.row_number().over(newest))
+        .filter(F.col("_back") <= ROLLING_ROWS)
+        .drop("_back")
     )
+    made = featured_days(before.unionByName(fresh), load_ts, censor_empty)
+    kept = gold_rows.filter(F.col("ds") >= F.lit(first)).join(touched, SERIES_KEY, "left_anti")
+    return made.filter(F.col("ds") >= F.lit(first)).unionByName(kept.select(*GOLD_COLUMNS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +13,8 @@ from ..operators.filters import all_known, newer_than
 from ..operators.joins import left_join, lookup_join, salted_left_join
 from ..operators.series import latest_per_key
 
+LOAD_TIME = "fact_load_ts"  # optional last column
+
 # The columns of the silver table, in order.
 SILVER_COLUMNS = [
     "store_id",
@@ -73,7 +76,9 @@ def clean_search(search: DataFrame) -> DataFrame:
     )
 
 
-def clean_fulfillment(fulfillment: DataFrame) -> DataFrame:
+def clean_fulfillment(fulfillment: DataFrame, with_load_time: bool = False) -> DataFrame:
+    """``with_load_time`` carries each fact's own load time, which tells its observations apart."""
+    loaded = [try_timestamp("load_timestamp").alias(LOAD_TIME)] if with_load_time else []
     return fulfillment.filter(all_known("store_id", "product_tcin")).select(
         hard_int("store_id").alias("store_id"),
         hard_int("product_tcin").alias("product_id"),
@@ -92,6 +97,7 @@ def clean_fulfillment(fulfillment: DataFrame) -> DataFrame:
         "scheduled_delivery_promise_qty",
         "charge_scheduled_delivery",
         "charge_one_day",
+        *loaded,
     )
 
 
@@ -115,7 +121,7 @@ def clean_prices(prices: DataFrame) -> DataFrame:
 
 def clean_stores(stores: DataFrame) -> DataFrame:
     return (
-        stores.filter(all_known("store_id"))
+        stores.filter(all_known("store_id") & (F.trim(F.col("store_id").cast("string")) != ""))
         .select(
             hard_int("store_id").alias("store_id"),
             trimmed("location_name").alias("location_name"),
@@ -135,6 +141,21 @@ def clean_trends(trends: DataFrame) -> DataFrame:
     )
 
 
+def one_trend_a_day(trends: DataFrame, keyword: str | None = None, region: str | None = None) -> DataFrame:
+    """At most one row a day: of the chosen keyword and region, or the highest interest of all."""
+    rows = trends.filter(all_known("interest_score"))
+    for column, value in (("keyword", keyword), ("region", region)):
+        if value is not None:
+            rows = rows.filter(F.col(column) == value)
+    return rows.groupBy(F.col("dt").cast("date").alias("dt")).agg(F.max("interest_score").alias("interest_score"))
+
+
+def latest_prices(search: DataFrame) -> DataFrame:
+    """The newest priced row of each product in a store, so that a price is drawn once a day."""
+    priced = search.filter(all_known("price"))
+    return latest_per_key(priced, ["store_id", "product_id"], ["load_timestamp"])
+
+
 def silver(
     fulfillment: DataFrame,
     search: DataFrame,
@@ -144,8 +165,10 @@ def silver(
     load_ts: Column,
     latest_product_only: bool = False,
     after: dt.date | str | None = None,
+    days: Sequence[dt.date] | None = None,
+    with_load_time: bool = False,
 ) -> DataFrame:
-    """The silver table, from the first fact row or only past a watermark day.
+    """The silver table, from the first fact row, past a watermark day, or of the given days.
 
     Product search holds one row per load, so the join repeats a fact per load, unless
     ``latest_product_only`` keeps the latest load first.
@@ -155,7 +178,9 @@ def silver(
     salted for the product join: the latest product per pair already lies by the pair, so that AQE
     could not split it.
     """
-    facts = clean_fulfillment(fulfillment)
+    facts = clean_fulfillment(fulfillment, with_load_time)
+    if days is not None:
+        facts = facts.filter(F.col("record_date").isin(list(days)))
     if after is not None:
         facts = newer_than(facts, "record_date", after)
     products = clean_search(search)
@@ -166,4 +191,5 @@ def silver(
     joined = salted_left_join(joined, products, ["store_id", "product_id"], counted=facts)
     joined = lookup_join(joined, clean_stores(stores), ["store_id"])
     joined = lookup_join(joined, clean_trends(trends), ["record_date"])
-    return joined.withColumn("silver_load_ts", load_ts).select(*SILVER_COLUMNS)
+    columns = [*SILVER_COLUMNS, LOAD_TIME] if with_load_time else SILVER_COLUMNS
+    return joined.withColumn("silver_load_ts", load_ts).select(*columns)

@@ -57,4 +57,32 @@ def write_roles(roles: DataFrame, path: str) -> None:
 
 
 def read_roles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(COLUMN_ROLES).json(path)
+    """Roles from either form: one object a line, or one document with a map of columns."""
+    document = "columns map<string, struct<sdtype: string>>, column_name string, sdtype string"
+    lines = spark.read.schema(COLUMN_ROLES).json(path).filter("column_name IS NOT NULL")
+    nested = spark.read.schema(document).option("multiLine", True).json(path).filter("columns IS NOT NULL")
+    columns = nested.select(F.explode("columns").alias("column_name", "role"))
+    return lines.unionByName(columns.select("column_name", F.col("role.sdtype").alias("sdtype")))
+
+
+def write_role_document(roles: DataFrame, path: str) -> None:
+    """All roles in one document: ``{"columns": {name: {"sdtype": role}}}``."""
+    entry = F.struct("column_name", F.struct("sdtype"))
+    columns = F.map_from_entries(F.sort_array(F.collect_list(entry)))
+    roles.agg(columns.alias("columns")).coalesce(1).write.json(path)
+
+
+def marginal_kinds(roles: DataFrame, df: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """(numeric, categorical, datetime) columns of ``df`` for a copula, by their roles.
+
+    Ids are assigned by position and unknown columns left out; a numerical role needs a number.
+    """
+    kinds: dict[str, list[str]] = {"numerical": [], "categorical": [], "datetime": []}
+    role_of = {r["column_name"]: r["sdtype"] for r in roles.collect()}  # a row a column
+    for field in df.schema.fields:
+        role = role_of.get(field.name)
+        if role == "boolean" or (role == "numerical" and not isinstance(field.dataType, T.NumericType)):
+            role = "categorical"
+        if role in kinds:
+            kinds[role].append(field.name)
+    return kinds["numerical"], kinds["categorical"], kinds["datetime"]

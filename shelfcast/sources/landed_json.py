@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.casting import ColumnOrName, as_column, try_double
 from ..functions.text import address_line, business_key
 from ..operators.columns import flattened, normalised_names
-from ..schemas import STORE_DATA, STORE_RESPONSE
+from ..schemas import PRODUCT_FULFILLMENT, STORE_DATA, STORE_RESPONSE
 
 
 def parse_response(
@@ -55,6 +55,39 @@ def fulfillment_rows(
     return normalised_names(flattened(exploded(parsed, services, "services")))
 
 
+# Table columns whose landed field has another name.
+LANDED_NAMES = {
+    "cutoff_time": "services_cutoff",
+    "is_two_day_shipping": "services_is_two_day_shipping",
+    "is_base_shipping_method": "services_is_base_shipping_method",
+    "product_tcin": "tcin",
+    "load_ts": "load_timestamp",
+}
+
+
+def as_fulfillment(rows: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
+    """Flat landed rows in the columns of the fulfillment table.
+
+    A table column takes the landed column that ``names`` gives for it, else the one of its own name,
+    else the field of a service, else the shallowest landed field whose path ends in its name, else
+    the one of ``LANDED_NAMES``; without any it is NULL.
+    """
+    present = list(rows.columns)
+
+    def source(name: str) -> str | None:
+        ends = [c for c in present if c.endswith(f"_{name}") and c != f"services_{name}"]
+        tried = [(names or {}).get(name), name, f"services_{name}", *sorted(ends, key=lambda c: (c.count("_"), c))]
+        return next((c for c in [*tried, LANDED_NAMES.get(name)] if c in present), None)
+
+    chosen = {f.name: source(f.name) for f in PRODUCT_FULFILLMENT.fields}
+    return rows.select(
+        *[
+            (F.col(f"`{chosen[f.name]}`") if chosen[f.name] else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in PRODUCT_FULFILLMENT.fields
+        ]
+    )
+
+
 def store_rows(df: DataFrame, body: str, ingested_at: Column) -> DataFrame:
     """Store-locator responses to ``store_data`` rows; responses without stores give none."""
     stores = (

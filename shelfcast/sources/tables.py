@@ -1,8 +1,11 @@
-"""Named Parquet tables.
-
-A table is a catalog entry that points at a folder. Replacing one writes a new folder and moves the
-entry to it in one catalog change: readers see the old rows or the new ones, a failed write changes
-nothing, and a table may be rebuilt from itself.
+"""Named Parquet tables that outlive the session.
+
+A table is a folder of versions and a log of them, both under ``base``: replacing a table writes a new
+version folder, adds a row to the log, and moves the catalog's entry to it. The entry is a view of the
+folder, so that it moves in one catalog change whatever the columns are: readers see the old rows or
+the new ones, a failed write changes nothing, and a table may be rebuilt from itself. The log is what
+counts: a session whose catalog does not know the table (a new process, or one that failed between the
+log and the catalog) finds it there.
 """
 
 from __future__ import annotations
@@ -10,14 +13,61 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.columns import align_to
+from ..operators.joins import not_in
 from ..operators.upserts import upserted
 
+_LOG = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("partitions", T.StringType()),
+    ]
+)
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, found = _file_system(spark, path)
+    return files.exists(found)
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+
+def _root(base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/{name.replace('.', '/')}"
+
+
+def _versions(spark: SparkSession, name: str, base: str) -> list:
+    """The table's log, oldest version first. One short row a replacement."""
+    path = f"{_root(base, name)}/versions"
+    if not path_exists(spark, path):
+        return []
+    return spark.read.schema(_LOG).json(path).orderBy("version", "folder").collect()
+
+
+def _point(spark: SparkSession, name: str, folder: str) -> None:
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+
+
+def recover_table(spark: SparkSession, name: str, base: str) -> bool:
+    """Point the catalog's entry at the newest version in the log; False if there is none."""
+    versions = _versions(spark, name, base)
+    if not versions:
+        return False
+    _point(spark, name, f"{_root(base, name)}/{versions[-1]['folder']}")
+    return True
+
+
+def table_exists(spark: SparkSession, name: str, base: str | None = None) -> bool:
+    """Whether the catalog knows the table, or, given ``base``, its log does."""
+    return spark.catalog.tableExists(name) or (base is not None and recover_table(spark, name, base))
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -31,33 +81,27 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def _new_folder(base: str, name: str) -> str:
-    return f"{base.rstrip('/')}/{name.replace('.', '/')}/{uuid.uuid4().hex[:12]}"
+def replace_table(
+    spark: SparkSession, name: str, df: DataFrame, base: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write ``df`` as the table's next version. ``df`` may read the old one."""
+    folder = uuid.uuid4().hex[:12]
+    path = f"{_root(base, name)}/{folder}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    versions = _versions(spark, name, base)
+    row = (versions[-1]["version"] + 1 if versions else 1, folder, ",".join(partition_by))
+    log = spark.createDataFrame([row], _LOG).coalesce(1)
+    log.write.mode("append").json(f"{_root(base, name)}/versions")
+    _point(spark, name, path)
+    return spark.table(name)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, base: str) -> None:
+def ensure_table(
+    spark: SparkSession, name: str, schema: T.StructType, base: str, partition_by: Sequence[str] = ()
+) -> None:
     """Create an empty table (and its database) unless it exists."""
-    if table_exists(spark, name):
-        return
-    if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.catalog.createTable(name, path=_new_folder(base, name), source="parquet", schema=schema)
-
-
-def replace_table(spark: SparkSession, name: str, df: DataFrame, base: str) -> DataFrame:
-    """Write ``df`` to a new folder and point the table at it. ``df`` may read the old table."""
-    folder = _new_folder(base, name)
-    df.write.parquet(folder)
-    if table_exists(spark, name) and spark.table(name).schema == spark.read.parquet(folder).schema:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
-    else:
-        # The table is external, so dropping the entry leaves the old folder alone.
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if "." in name:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-        spark.catalog.createTable(name, path=folder, source="parquet")
-    return spark.table(name)
+    if not table_exists(spark, name, base):
+        replace_table(spark, name, spark.createDataFrame([], schema), base, partition_by)
 
 
 def refill_table(
@@ -67,20 +111,39 @@ def refill_table(
     return replace_table(spark, name, align_to(df, schema), base)
 
 
-def append_aligned(spark: SparkSession, name: str, df: DataFrame, base: str) -> DataFrame:
-    """Create the table from ``df``, or append ``df`` in the stored columns and order."""
-    if not table_exists(spark, name):
+def append_aligned(
+    spark: SparkSession, name: str, df: DataFrame, base: str, once: Sequence[str] = ()
+) -> DataFrame:
+    """Create the table from ``df``, or append ``df`` in the stored columns and order.
+
+    ``once`` names columns that tell one load from another: rows of a load that the table already
+    holds are left out, so that a repeated run adds nothing.
+    """
+    if not table_exists(spark, name, base):
         return replace_table(spark, name, df, base)
-    align_to(df, spark.table(name).schema).write.insertInto(name)
+    stored = spark.table(name)
+    rows = align_to(df, stored.schema)
+    if once:
+        rows = not_in(rows, stored, once)
+    last = _versions(spark, name, base)[-1]
+    writer = rows.write.mode("append")
+    if last["partitions"]:
+        writer = writer.partitionBy(*last["partitions"].split(","))
+    writer.parquet(f"{_root(base, name)}/{last['folder']}")
     return spark.table(name)
 
 
 def append_log(
-    spark: SparkSession, name: str, batch: DataFrame, schema: T.StructType, base: str
+    spark: SparkSession,
+    name: str,
+    batch: DataFrame,
+    schema: T.StructType,
+    base: str,
+    once: Sequence[str] = (),
 ) -> DataFrame:
-    """Append a whole batch to a declared log table."""
+    """Append a whole batch to a declared log table; see ``append_aligned`` for ``once``."""
     ensure_table(spark, name, schema, base)
-    return append_aligned(spark, name, batch, base)
+    return append_aligned(spark, name, batch, base, once)
 
 
 def upsert_table(
@@ -92,9 +155,37 @@ def upsert_table(
     newest_first: Sequence[str] = (),
 ) -> DataFrame:
     """Replace the staged keys of a table; rows of other keys stay as they are."""
+    if not table_exists(spark, name, base):
+        raise ValueError(f"no table {name!r} to upsert into")
     return replace_table(spark, name, upserted(spark.table(name), stage, keys, newest_first), base)
 
 
+def replace_days(
+    spark: SparkSession, name: str, df: DataFrame, base: str, day: str
+) -> DataFrame:
+    """Replace the days that ``df`` holds in a table partitioned by ``day``; other days stay.
+
+    ``df`` may read the table. A first call creates it.
+    """
+    if not table_exists(spark, name, base):
+        return replace_table(spark, name, df.hint("rebalance", day), base, [day])
+    last = _versions(spark, name, base)[-1]
+    if last["partitions"] != day:
+        raise ValueError(f"table {name!r} is not partitioned by {day!r}")
+    overwrite_days(align_to(df, spark.table(name).schema), f"{_root(base, name)}/{last['folder']}", day)
+    return spark.table(name)
+
+
+def drop_old_versions(spark: SparkSession, name: str, base: str, keep: int = 2) -> int:
+    """Delete all but the last ``keep`` version folders; readers of older ones must have ended."""
+    versions = _versions(spark, name, base)
+    gone = 0
+    for row in versions[: max(0, len(versions) - max(keep, 1))]:
+        files, folder = _file_system(spark, f"{_root(base, name)}/{row['folder']}")
+        gone += bool(files.exists(folder) and files.delete(folder, True))
+    return gone
+
+
 def overwrite_days(df: DataFrame, path: str, day: str) -> None:
     """Write by day, replacing only the days present in ``df``.
 
@@ -117,3 +208,8 @@ def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
+
+
+def days_in(df: DataFrame, day: str) -> list:
+    """The distinct known days of a frame, in order: a calendar's worth of values."""
+    return [r[0] for r in df.select(F.col(day).cast("date")).distinct().dropna().sort(day).collect()]

@@ -27,7 +27,8 @@ def take_new_facts(
     """Join newly landed Parquet files and add them to ``target``.
 
     A batch writes its own partition and overwrites it when it is repeated, so a batch that failed
-    halfway leaves no duplicates.
+    halfway leaves no duplicates. Batch numbers start anew with a new checkpoint, so each checkpoint
+    has a partition of its own, by the id that Spark keeps in it.
     """
     reader = spark.readStream.schema(PRODUCT_FULFILLMENT)
     if max_files:
@@ -35,7 +36,8 @@ def take_new_facts(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = silver(fulfillment=batch, load_ts=load_ts, latest_product_only=True, **bronze)
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows.write.mode("overwrite").parquet(f"{target}/stream={stream}/batch={batch_id}")
 
     (
         reader.parquet(landing)

@@ -48,9 +48,65 @@ def test_sample_is_repeatable(spark, table):
     assert first == again and first != other
 
 
-def test_too_many_categories_is_an_error_not_a_cut(spark, table):
-    with pytest.raises(ValueError, match="more than 2 categories"):
-        fit_copula(table, ["x"], ["c"], max_categories=2)
+def test_a_wide_column_gives_what_a_listed_one_gives(spark, table):
+    listed = fit_copula(table, ["x"], ["c"])
+    wide = fit_copula(table, ["x"], ["c"], listed=2)
+    assert np.allclose(listed.correlation, wide.correlation) and wide.marginals[1].wide
+    one, other = (sorted(map(tuple, sample_copula(spark, m, 2000).collect())) for m in (listed, wide))
+    assert one == other
+
+
+def test_thousands_of_categories(spark):
+    rows = spark.range(6000).select(
+        F.concat(F.lit("id-"), (F.col("id") % 1500).cast("string")).alias("code"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 1500).cast("int").alias("n"),
+    )
+    sample = sample_copula(spark, fit_copula(rows, ["n"], ["code"]), 6000)
+    assert sample.count() == 6000 and sample.filter(F.col("code").isNull()).isEmpty()
+    assert sample.select("code").distinct().count() > 1300
+    assert sample.join(rows, "code", "left_anti").isEmpty()
+
+
+def test_times_and_typed_categories(spark):
+    rows = spark.range(3000).select(
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 60).alias("t"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).cast("timestamp_ntz").alias("z"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"),
+        (F.col("id") % 2 == 0).alias("b"),
+        (F.col("id") % 3).alias("k"),
+    )
+    model = fit_copula(rows, [], ["b", "k"], datetimes=["t", "z", "d"])
+    sample = sample_copula(spark, model, 3000)
+    assert [f.dataType for f in sample.schema][1:] == [rows.schema[n].dataType for n in model.names]
+    bounds = lambda df: df.agg(F.min("t"), F.max("d"), F.count("z")).first()
+    got, real = bounds(sample), bounds(rows)
+    assert abs((got[0] - real[0]).total_seconds()) < 3600 and abs((got[1] - real[1]).days) <= 1 and got[2] == 3000
+    assert model.correlation[0, 1] > 0.95
+    assert {r["k"] for r in sample.select("k").distinct().collect()} == {0, 1, 2}
+
+
+def test_tied_ends_do_not_pull_the_correlation(spark):
+    rng = np.random.default_rng(2)
+    z = rng.multivariate_normal([0, 0], [[1, 0.7], [0.7, 1]], N)
+    x = np.clip(z[:, 0], *np.quantile(z[:, 0], [0.004, 0.996]))
+    rows = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, z[:, 1])], "x double, y double")
+    assert abs(fit_copula(rows, ["x", "y"]).correlation[0, 1] - 0.7) < 0.015
+
+
+def test_executors_need_nothing_of_the_package(spark, table):
+    """The functions that are sent hold plain data, so they load where the package is not installed."""
+    from pyspark.cloudpickle import dumps
+
+    import shelfcast.plans.copula as module
+
+    sent = []
+    original = type(table).mapInPandas
+    try:
+        type(table).mapInPandas = lambda self, f, s, *a, **k: (sent.append(dumps(f)), original(self, f, s, *a, **k))[1]
+        module.sample_copula(spark, module.fit_copula(table, ["x"], ["c"]), 10)
+    finally:
+        type(table).mapInPandas = original
+    assert len(sent) == 2 and not any(b"shelfcast.plans" in s.replace(b"__module__", b"") and b"Marginal" in s for s in sent)
 
 
 def test_column_without_values_is_an_error(spark):
