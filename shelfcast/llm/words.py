@@ -7,6 +7,7 @@ megabyte of whole texts, which bounds memory whatever an Arrow batch holds.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -166,5 +167,6 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    time.sleep(0.3)  # listeners refer to the job until they have seen its end
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

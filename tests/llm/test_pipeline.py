@@ -22,11 +22,11 @@ def corpus(spark, folder):
         if d % 10 == 0:
             own[0] += " vile"
         rows.append([d, "\n".join(own)])
-    base = text(100).split()
+    base = text(300).split()
     for d in range(400, 420):  # near copies, each on one long line with its own words
         own = list(base)
-        own[rng.randrange(100)] = "c%d" % d
-        own[rng.randrange(100)] = "long-%d-word" % d
+        own[rng.randrange(300)] = "c%d" % d
+        own[rng.randrange(300)] = "long-%d-word" % d
         rows.append([d, " ".join(own)])
     rows.append([420, text() + " " + item + " " + text()])
     rows.append([421, rows[401][1]])
