@@ -422,10 +422,12 @@ def without_repeated_lines(
     )
     named = base.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     gone = repeated_lines(named, edits, shortest, few).groupBy("doc_id")
-    gone = gone.agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    gone = written(docs.sparkSession, gone, "line-removed")
-    rows = base.join(gone, "doc_id", "left")
-    rows = rows.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    # As text, so that its size can be measured; where it is small, the texts stay where they are.
+    numbers = F.array_join(F.sort_array(F.collect_set("line")).cast("array<string>"), ",")
+    gone = written(docs.sparkSession, gone.agg(numbers.alias("removed")), "line-removed")
+    rows = base.join(broadcast_if_small(gone), "doc_id", "left")
+    none = F.array().cast("array<int>")
+    rows = rows.withColumn("removed", F.coalesce(F.split("removed", ",").cast("array<int>"), none))
     every = F.split("text", "\n", -1)
     stay = F.filter(every, lambda x, i: ~F.array_contains("removed", i))
     return rows.withColumns(
