@@ -129,8 +129,8 @@ class Page:
             if tag in VOID or m["rest"].endswith("/") and tag not in BLOCKS:
                 continue
             _, container, out = stack[-1]
-            marked, label = _marks(m["rest"])
             inside = self._within_article(container)
+            marked, label = _marks(m["rest"], inside)
             out = out or tag in HIDDEN or (tag in FURNITURE and not (tag == "header" and inside))
             out = out or (marked and tag not in ("html", "body", "article", "main"))
             if tag in CONTAINERS:
@@ -193,15 +193,19 @@ class Page:
         return None
 
 
-def _marks(attributes: str) -> tuple[bool, str]:
-    """Whether class, id or role mark furniture, and the generalised classes for the path."""
+def _marks(attributes: str, in_article: bool) -> tuple[bool, str]:
+    """Whether class, id or role mark furniture, and the generalised classes for the path.
+
+    A header inside an article is its own.
+    """
     if "=" not in attributes:
         return False, ""
     marked, label = False, ""
     for m in _ATTRIBUTE.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))}
-        marked = marked or not MARKS.isdisjoint(words)
+        words &= MARKS
+        marked = marked or bool(words - {"header"} if in_article else words)
         if m[1].lower() == "class":
             label = "".join("." + c for c in sorted({_DIGITS.sub("#", c) for c in value.split()}))
     return marked, label
@@ -254,7 +258,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
             texts = []
             for source, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist()):
                 page = Page(source or "")
-                texts.append(page.text((paths or "").split("\n")) or page.text([page.proposal()]) or "")
+                won_text = page.text(paths.split("\n")) if paths else None
+                texts.append(won_text or page.text([page.proposal()]) or "")
             sizes = pa.array([len(x) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string()), sizes],
