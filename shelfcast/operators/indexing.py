@@ -7,6 +7,7 @@ starting value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -25,14 +26,25 @@ def key_digest(keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
 
 
+def digest_digits(rows: int, bucket_rows: int = 1_000_000) -> int:
+    """Hex digits that make buckets of about ``bucket_rows``; 3 to 5, so at most a million starts."""
+    return min(max(3, math.ceil(math.log(max(rows / bucket_rows, 1), 16))), 5)
+
+
 def dense_index(
-    df: DataFrame, keys: Sequence[str], index: str = "row_index", hex_digits: int = 3
+    df: DataFrame,
+    keys: Sequence[str],
+    index: str = "row_index",
+    hex_digits: int | None = None,
+    rows: int = 0,
 ) -> DataFrame:
     """Number rows 0..n-1 in the order of the MD5 of their key.
 
     Keys must be unique. The digest's first digits are the bucket, so buckets are even whatever the
-    keys look like: 16**hex_digits of them, which also bounds the broadcast of their starts.
+    keys look like; their number follows ``rows``, where the count is known, and does not change the
+    numbers given. It also bounds the broadcast of the buckets' starts.
     """
+    hex_digits = hex_digits or digest_digits(rows)
     marked = df.withColumn("_digest", key_digest(keys)).withColumn(
         "_bucket", F.substring("_digest", 1, hex_digits)
     )

@@ -127,8 +127,8 @@ def assign_by_position(rows: DataFrame, row_id: str, pairs: DataFrame, keys: Seq
     ``pairs`` must be distinct. Runs one count; the join is on a dense number, so it cannot be skewed
     by the pairs.
     """
-    numbered = dense_index(pairs.select(*keys), keys, "_pair")
     n_pairs = pairs.count()
+    numbered = dense_index(pairs.select(*keys), keys, "_pair", rows=n_pairs)
     if n_pairs == 0:
         raise ValueError("no key pairs to assign")
     return (
@@ -144,7 +144,7 @@ def choose_observed(rows: DataFrame, draw: str, values: DataFrame, column: str)
     n_values = known.count()
     if n_values == 0:
         return rows.withColumn(column, F.lit(None).cast(known.schema[0].dataType))
-    numbered = dense_index(known, [column], "_choice")
+    numbered = dense_index(known, [column], "_choice", rows=n_values)
     return (
         rows.withColumn("_choice", F.floor(F.col(draw) * n_values))
         .join(broadcast_if_small(numbered), "_choice", "left")
