@@ -1,9 +1,8 @@
-"""Benchmark leaks in training texts: rare n-gram seeds find candidates, Smith-Waterman scores them.
+"""Benchmark leaks in training texts: n-gram seeds find candidates, Smith-Waterman scores them.
 
-The test items are read in blocks of bounded size. For each block one pass over the corpus counts in
-how many documents every n-gram of the items occurs; the rarest n-gram of every ``STRIDE`` neighbouring
-ones becomes a seed. A second pass finds the seeds in the texts, cuts out the passage around them and
-aligns it with the item. Both passes are narrow: nothing but counts is shuffled.
+The test items are read in blocks of bounded size. Every n-gram of an item is a seed. For each block one
+pass over the corpus finds the seeds in the texts, leaves out items of which a text has too few words,
+cuts out the passage around the seeds and aligns it with the item. The pass is narrow: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import DataFrame, functions as F
 from .words import NOT_LETTERS, grams, slices
 
 N = 3
-STRIDE = 3
 THRESHOLD = 0.5
 #: Bytes of test items that are searched for at once.
 BLOCK_BYTES = 8 << 20
@@ -34,26 +32,31 @@ _LEAK_TYPE = pa.list_(
 
 
 class Items(NamedTuple):
-    """Test items and the n-grams that stand for them: seed ``keys[k]`` is at ``item``, ``at`` of
-    the places ``first[k] .. first[k + 1]``."""
+    """Test items and their n-grams: ``keys[k]`` is in the items ``item[first[k] : first[k + 1]]``."""
 
     ids: np.ndarray
     words: list[np.ndarray]
     keys: np.ndarray
     first: np.ndarray
     item: np.ndarray
-    at: np.ndarray
     maybe: np.ndarray
 
 
-def _indexed(ids: np.ndarray, words: list[np.ndarray], places: list[tuple[int, int, int]]) -> Items:
-    """``places``: (n-gram, item, position)."""
-    table = np.array([(k, i, p) for k, i, p in places], dtype=[("k", "u8"), ("i", "i8"), ("p", "i8")])
-    table = np.sort(table, order=["k", "i", "p"])
+def _indexed(ids: np.ndarray, words: list[np.ndarray], n: int) -> Items:
+    own = [item_grams(w, n) for w in words]
+    table = np.zeros(sum(map(len, own)), dtype=[("k", "u8"), ("i", "i8")])
+    if own:
+        table["k"], table["i"] = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    table = np.unique(table)
     keys, first = np.unique(table["k"], return_index=True)
     maybe = np.zeros(1 << _BITS, bool)
     maybe[(keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-    return Items(ids, words, keys, np.append(first, len(table)), table["i"], table["p"], maybe)
+    return Items(ids, words, keys, np.append(first, len(table)), table["i"], maybe)
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (count[0] of them), begin[1], ..."""
+    return np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
 
 
 def item_grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -108,14 +111,23 @@ def _leaks(h: np.ndarray, items: Items, n: int, threshold: float) -> list[tuple[
     at, number = find(items, grams(h, n))
     if not len(at):
         return []
-    count = items.first[number + 1] - items.first[number]
-    place = np.repeat(items.first[number], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    who, where = items.item[place], np.repeat(at, count) - items.at[place]
+    # The hits are grouped by n-gram, so that a common one is looked up once for each item.
+    order = np.argsort(number, kind="stable")
+    at, number = at[order], number[order]
+    keys = np.unique(number)
+    who = np.unique(items.item[_ranges(items.first[keys], items.first[keys + 1] - items.first[keys])])
+    # No alignment beats a match for every word that both have.
+    sizes = np.array([len(items.words[i]) for i in who])
+    both = np.isin(np.concatenate([items.words[i] for i in who]), h)
+    who = who[np.add.reduceat(both.astype(np.int64), np.cumsum(sizes) - sizes) >= threshold * sizes]
     found = []
-    for i in np.unique(who):
+    for i in who:
         own = items.words[i]
         slack = 5 + len(own) // 3
-        spots = np.unique(where[who == i])
+        mine = np.searchsorted(items.keys, item_grams(own, n))
+        begin = np.searchsorted(number, mine)
+        count = np.searchsorted(number, mine, side="right") - begin
+        spots = np.unique(at[_ranges(begin, count)] - np.repeat(np.arange(len(mine)), count))
         begin = np.maximum(spots - slack, 0)
         end = np.minimum(spots + len(own) + slack, len(h))
         best: tuple[float, int, int] = (0.0, -1, -1)
@@ -127,7 +139,6 @@ def _leaks(h: np.ndarray, items: Items, n: int, threshold: float) -> list[tuple[
                 hi = max(hi, end[k])
             k += 1
             text = h[lo:hi]
-            # No alignment beats a match for every word that both have.
             if np.isin(own, text).sum() < threshold * len(own):
                 continue
             score, first, last = align(own, text)
@@ -143,7 +154,6 @@ def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     n: int = N,
-    stride: int = STRIDE,
     threshold: float = THRESHOLD,
     keep_text: bool = True,
 ) -> DataFrame:
@@ -153,6 +163,9 @@ def find_leaks(
     are runs of letters and digits, A-Z lower-cased; word numbers count those. Leaks are ordered by
     item_id, one for each item (its best passage).
 
+    An item is found in a text that has any ``n`` neighbouring words of it unchanged; a copy whose every
+    run of ``n`` words is broken (every third word changed, at n=3) is not looked at.
+
     A null or empty text has no leaks. Items that are null, empty or shorter than ``n`` words, or have
     no item_id, match nothing; an item_id with several texts is found by any of them. Repeated rows
     get the same leaks; other columns pass through (one named leaks is replaced).
@@ -176,44 +189,16 @@ def find_leaks(
             h = s.hashes(lower=True)
             words += [h[s.first[i] : s.first[i + 1]] for i in range(len(s.first) - 1)]
         ids = np.array([r["item_id"] for r in rows])
-        base = _search(base, ids, words, n, stride, threshold)
+        base = _search(base, ids, words, n, threshold)
     if not keep_text:
         base = base.drop("text")
     return base
 
 
-def _search(
-    docs: DataFrame, ids: np.ndarray, words: list[np.ndarray], n: int, stride: int, threshold: float
-) -> DataFrame:
-    places = [(int(k), i, p) for i, w in enumerate(words) for p, k in enumerate(item_grams(w, n))]
-    if not places:
+def _search(docs: DataFrame, ids: np.ndarray, words: list[np.ndarray], n: int, threshold: float) -> DataFrame:
+    items = _indexed(ids, words, n)
+    if not len(items.keys):
         return docs
-    items = _indexed(ids, words, places)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.keys), np.int64)
-        for batch in batches:
-            for s in slices(batch.column("text"), between=NOT_LETTERS):
-                at, number = find(items, grams(s.hashes(lower=True), n))
-                doc = np.searchsorted(s.first, at, side="right") - 1
-                total += np.bincount(np.unique(doc * len(items.keys) + number) % len(items.keys), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["number", "docs"]
-        )
-
-    counted = docs.select("text").mapInArrow(count, "number long, docs long")
-    common = np.zeros(len(items.keys), np.int64)
-    for r in counted.groupBy("number").agg(F.sum("docs").alias("docs")).collect():  # n-grams of the block
-        common[r["number"]] = r["docs"]
-    key_of = {int(k): j for j, k in enumerate(items.keys)}
-    seeds = []
-    for i, w in enumerate(words):
-        own = [(int(common[key_of[int(k)]]), p, int(k)) for p, k in enumerate(item_grams(w, n))]
-        for p in range(0, len(own), stride):
-            _, at, k = min(own[p : p + stride])
-            seeds.append((k, i, at))
-    chosen = _indexed(ids, words, seeds)
     names = [f.name for f in docs.schema]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,10 +206,10 @@ def _search(
             leaks = batch.column("leaks").to_pylist()
             for s in slices(batch.column("text"), between=NOT_LETTERS):
                 h = s.hashes(lower=True)
-                at, _ = find(chosen, grams(h, n))
+                at, _ = find(items, grams(h, n))
                 for d in np.unique(np.searchsorted(s.first, at, side="right") - 1):
                     own = h[s.first[d] : s.first[d + 1]]
-                    found = _leaks(own, chosen, n, threshold)
+                    found = _leaks(own, items, n, threshold)
                     if found:
                         best = {x["item_id"]: x for x in leaks[s.row + d]}
                         for i, share, first, last in found:

@@ -209,6 +209,24 @@ def test_leaks_equal_full_alignment(spark, monkeypatch, block_bytes):
     assert all(r.leaks == [] for r in none) and len(none) == len(got)
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_leaks_of_copies_with_every_few_words_changed(spark, every):
+    item = ["w%d" % i for i in range(60)]
+    copy = [f"new{every}x{i}" if i % every == every - 1 else w for i, w in enumerate(item)]
+    late = [f"new{every}y{i}" if i % every == 0 else w for i, w in enumerate(item)]
+    around = lambda x: " ".join(["a", "b"] * 20 + x + ["c", "d"] * 20)
+    rows = [(1, around(copy)), (2, around(late)), (3, around(item)), (4, around([])), (5, around(item[:20]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "a b a")], "item_id long, text string")
+    for some in (docs, docs.where("doc_id != 3")):
+        got = {(r.doc_id, x.item_id): x for r in decontaminate.find_leaks(some, bench).collect() for x in r.leaks}
+        assert {d for d, i in got if i == 7} == {1, 2, 3} & {r.doc_id for r in some.collect()}
+        codes = {w: i for i, w in enumerate(dict.fromkeys(" ".join(t for _, t in rows).split() + item))}
+        for d, text in rows[:2]:
+            own, test = ([codes[w] for w in x] for x in (text.split(), item))
+            assert got[d, 7].score == pytest.approx(local_score(test, own) / 120)
+
+
 def test_leak_query_equals_full_alignment(spark, small):
     from shelfcast.llm.queries import QUERIES
 
