@@ -192,6 +192,31 @@ def test_near_copies_equal_brute_force(spark, long):
     assert {tuple(r) for r in got} == copies_brute(rows)
 
 
+@pytest.mark.parametrize("larger", [33, 37, 39, 40])
+def test_sets_listed_whole_meet_larger_ones(spark, larger):
+    rng = random.Random(larger)
+    rows = []
+    for i in range(150):
+        own = ["%x" % rng.getrandbits(60) for _ in range(larger + 3)]
+        rows += [(2 * i, " ".join(own[:35])), (2 * i + 1, " ".join(own))]
+    got = sketch_dedup.near_copies(spark.createDataFrame(rows, SCHEMA), n=4, percent=80).collect()
+    assert {r.n_shingles for r in got} == {32, larger}
+    assert [r for r in got if r.component_id != r.doc_id // 2 * 2] == []
+
+
+@pytest.mark.parametrize("listed, less, larger", [(32, 32, 40), (32, 26, 32), (512, 512, 640), (512, 508, 635), (512, 504, 630)])
+def test_lists_cut_on_one_side_only(spark, listed, less, larger):
+    rng = random.Random(larger)
+    entries = []
+    for i in range(120):
+        own = [rng.getrandbits(62) for _ in range(larger)]
+        entries += [(x, 2 * i, less) for x in sorted(own[:less])[:listed]]
+        entries += [(x, 2 * i + 1, larger) for x in sorted(own)[:listed]]
+    df = spark.createDataFrame(entries, "value long, id long, n long")
+    pairs, _ = sketch_dedup._meet(df, listed, sketch_dedup.LONG, 80)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(2 * i, 2 * i + 1) for i in range(120)}
+
+
 def test_near_copy_query_equals_brute_force(spark, small):
     from shelfcast.llm.queries import QUERIES
 
