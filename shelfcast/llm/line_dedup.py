@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.bounds import broadcast_if_small
 from .words import mixed, signed, unsigned, written
@@ -30,6 +30,9 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x2545F4914F6CDD1D
 _SLICE_CHARS = 1 << 20
 _PARITY_BITS = 31
+#: A key of more rows is cut into blocks of about so many, by what one in SOME documents has of it.
+HOT = 16_384
+SOME = 64
 _BLOCK = 2048
 _ROW = ["key", "doc_id", "packed", "pairs"]
 _MET = "doc_a long, line_a int, doc_b long, line_b int, key long, packed long, pairs long"
@@ -205,10 +208,11 @@ def _signature_rows(batches, edits: int, shortest: int) -> Iterator[pa.RecordBat
                 docs, numbers, lines, full = [], [], [], 0
 
 
-def _meet(doc, packed, pairs, late, edits: int, few: int | None):
+def _meet(doc, packed, pairs, part, late, edits: int, few: int | None):
     """Pairs (later, earlier) of one key's rows; ``crowded``: later rows with more partners left.
 
-    ``late`` marks the rows that look for a partner.
+    ``late`` marks the rows that look for a partner; of rows of two blocks (see ``_parted``) only those
+    of different blocks meet.
     """
     line = packed >> np.uint64(32)
     parity = (packed >> np.uint64(1)) & np.uint64((1 << _PARITY_BITS) - 1)
@@ -219,6 +223,8 @@ def _meet(doc, packed, pairs, late, edits: int, few: int | None):
     rank[order] = np.cumsum(fresh)
     order = order[late[order]]
     indexed = (packed & np.uint64(1)) == 1
+    side = (part & 1) == 1
+    two = bool(side.any())
     found, partner, crowded = [], [], []
     every = np.argsort(rank, kind="stable")
     for begin in range(0, len(order), _BLOCK):
@@ -228,7 +234,12 @@ def _meet(doc, packed, pairs, late, edits: int, few: int | None):
             other = every[part : part + _BLOCK]
             if rank[other[0]] >= rank[own[-1]]:
                 break
+            if few and not left.any():
+                crowded.append(own)  # each may have more
+                break
             near = rank[other][None, :] < rank[own][:, None]
+            if two:
+                near &= side[own][:, None] != side[other][None, :]
             near &= indexed[own][:, None] | indexed[other][None, :]
             near &= np.bitwise_count(parity[own][:, None] ^ parity[other][None, :]) <= 2 * edits
             near &= np.bitwise_count(pairs[own][:, None] ^ pairs[other][None, :]) <= 4 * edits
@@ -248,7 +259,8 @@ def _meet(doc, packed, pairs, late, edits: int, few: int | None):
 
 def _pair_rows(batches, edits: int, few: int | None) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key: the pairs that meet under each key, the lines that had too many partners
-    (no partner, no key), and all rows of those keys (no partner). A key's rows are held together."""
+    (no partner, no key), and all rows of those keys (no partner). The rows of a key, or of two blocks of
+    a cut one, are held together."""
     rest = None
 
     def table(doc_a, line_a, doc_b=None, line_b=None, key=None, packed=None, pairs=None) -> pa.Table:
@@ -267,18 +279,18 @@ def _pair_rows(batches, edits: int, few: int | None) -> Iterator[pa.RecordBatch]
             }
         )
 
-    def groups(key, doc, packed, pairs, late):
+    def groups(key, doc, packed, pairs, part, late):
         if not len(key):
             return
         head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
+        head[1:] = (key[1:] != key[:-1]) | (part[1:] >> 1 != part[:-1] >> 1)
         at = np.append(np.flatnonzero(head), len(key))
         owns = np.add.reduceat((packed & np.uint64(1)).astype(np.int64), at[:-1])
         line = (packed >> np.uint64(32)).astype(np.int32)
         out, marks, whole = ([], []), [], []
         for g in np.flatnonzero((np.diff(at) > 1) & (owns > 0)):
             own = slice(at[g], at[g + 1])
-            a, b, more = _meet(doc[own], packed[own], pairs[own], late[own], edits, few)
+            a, b, more = _meet(doc[own], packed[own], pairs[own], part[own], late[own], edits, few)
             out[0].append(at[g] + a)
             out[1].append(at[g] + b)
             if len(more):
@@ -300,22 +312,46 @@ def _pair_rows(batches, edits: int, few: int | None) -> Iterator[pa.RecordBatch]
             batch.column("doc_id").to_numpy(zero_copy_only=False),
             unsigned(batch.column("packed")),
             unsigned(batch.column("pairs")),
+            batch.column("part").to_numpy(zero_copy_only=False),
             batch.column("late").to_numpy(zero_copy_only=False),
         )
         if rest is not None:
             own = tuple(np.concatenate(x) for x in zip(rest, own))
-        order = own[0].view(np.int64)
-        cut = int(np.searchsorted(order, order[-1], side="left"))
+        same = (own[0] == own[0][-1]) & (own[4] >> 1 == own[4][-1] >> 1)
+        cut = int(np.argmax(same))
         yield from groups(*(x[:cut] for x in own))
         rest = tuple(x[cut:] for x in own)
     if rest is not None:
         yield from groups(*rest)
 
 
-def _met(rows: DataFrame, edits: int, few: int | None) -> DataFrame:
-    """Pairs and set-aside rows of signature rows with ``late``."""
-    sorted_ = rows.repartition("key").sortWithinPartitions("key")
-    return sorted_.mapInArrow(lambda b: _pair_rows(b, edits, few), _MET).distinct()
+def _parted(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` with ``part``: 0, but rows of keys of more than ``HOT`` rows (``sizes``: key, rows) are
+    dealt into blocks by line and repeated for each pair of blocks, so that a pair is a group of its own.
+
+    ``part`` is the lower block (high 31 bits), the higher one, and the row's side (lowest bit).
+    """
+    hot = sizes.where(F.col("rows") > HOT).select(
+        F.col("key").alias("hot"), F.ceil(F.col("rows") / HOT).cast("long").alias("blocks")
+    )
+    rows = rows.join(broadcast_if_small(written(rows.sparkSession, hot, "line-hot")), F.col("key") == F.col("hot"), "left")
+    line = F.shiftrightunsigned("packed", 32)
+    own = F.pmod(F.xxhash64("doc_id", line), F.col("blocks"))
+
+    def pair(other: Column) -> Column:
+        low, high = F.least(own, other), F.greatest(own, other)
+        return F.shiftleft(low, 32) + F.shiftleft(high, 1) + (own > other).cast("long")
+
+    parts = F.when(F.col("hot").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)
+    )
+    return rows.withColumn("part", F.explode(parts)).drop("hot", "blocks")
+
+
+def _met(rows: DataFrame, sizes: DataFrame, edits: int, few: int | None) -> DataFrame:
+    """Pairs and set-aside rows of signature rows with ``late``; ``sizes`` tells how many a key has."""
+    dealt = _parted(rows, sizes).repartition("key", F.shiftright("part", 1)).sortWithinPartitions("key", "part")
+    return dealt.mapInArrow(lambda b: _pair_rows(b, edits, few), _MET).distinct()
 
 
 def _verified(pairs: DataFrame, named: DataFrame, edits: int) -> DataFrame:
@@ -381,10 +417,17 @@ def repeated_lines(named: DataFrame, edits: int = EDITS, shortest: int = MIN_CHA
     placed = found.withColumn("again", F.col("known") | (least < F.struct("doc_id", "line")))
     placed = written(spark, placed.select("doc_id", "line", "again"), "lines")
     firsts = placed.where("NOT again").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    signed_ = named.join(firsts, "doc_id").select("doc_id", "text", "lines").mapInArrow(
-        lambda b: _signature_rows(b, edits, shortest), "key long, doc_id long, packed long, pairs long"
-    )
-    met = written(spark, _met(signed_.withColumn("late", F.lit(True)), edits, few), "line-pairs")
+
+    def signed_(named: DataFrame, firsts: DataFrame) -> DataFrame:
+        return named.join(firsts, "doc_id").select("doc_id", "text", "lines").mapInArrow(
+            lambda b: _signature_rows(b, edits, shortest), "key long, doc_id long, packed long, pairs long"
+        )
+
+    # How large keys are is told by some of the documents; it decides how rows are dealt only.
+    some = F.pmod(F.xxhash64("doc_id"), F.lit(SOME)) == 0
+    sizes = signed_(named.where(some), firsts.where(some)).groupBy("key").agg((F.count("*") * SOME).alias("rows"))
+    rows = signed_(named, firsts).withColumn("late", F.lit(True))
+    met = written(spark, _met(rows, sizes, edits, few), "line-pairs")
     pairs = met.where("doc_b IS NOT NULL").select("doc_a", "line_a", "doc_b", "line_b")
     near = written(spark, _verified(pairs, named, edits), "line-near")
     crowded = met.where("doc_b IS NULL AND key IS NULL")
@@ -396,7 +439,8 @@ def repeated_lines(named: DataFrame, edits: int = EDITS, shortest: int = MIN_CHA
         )
         late = open_.withColumn("late", F.lit(True))
         aside = aside.join(late, ["doc_id", "line"], "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        rest = _met(aside.select(*_ROW, "late"), edits, None).select(*pairs.columns)
+        sizes = aside.groupBy("key").agg(F.count("*").alias("rows"))
+        rest = _met(aside.select(*_ROW, "late"), sizes, edits, None).select(*pairs.columns)
         rest = written(spark, rest.join(pairs, pairs.columns, "left_anti"), "line-rest")
         near = near.union(_verified(rest, named, edits)).distinct()
     return placed.where("again").select("doc_id", "line").union(near)

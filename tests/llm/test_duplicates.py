@@ -119,6 +119,28 @@ def test_lines_equal_brute_force(spark, few):
     assert odd[90_002].n_lines == 1 and odd[90_003].n_lines == 3
 
 
+@pytest.mark.parametrize("few", [2, 8])
+def test_lines_of_one_key_go_to_many_groups(spark, monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "HOT", 40)
+    monkeypatch.setattr(line_dedup, "SOME", 1)
+    monkeypatch.setattr(line_dedup, "_BLOCK", 16)
+    rng = random.Random(few)
+    rows = [(i, "\n".join("Posted 2024-01-02 by user %06d" % rng.randrange(10**6) for _ in range(2))) for i in range(150)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {(r.doc_id, r.line) for r in line_dedup.repeated_lines(df, few=few).collect()}
+    assert got == set(lines_brute(rows)) and got
+    one = [(7, i, (i << 32) | 1, 0) for i in range(400)]
+    keyed = spark.createDataFrame(one, "key long, doc_id long, packed long, pairs long")
+    parted = line_dedup._parted(keyed, keyed.groupBy("key").agg(line_dedup.F.count("*").alias("rows"))).collect()
+    groups, met = {}, set()
+    for r in parted:
+        groups.setdefault(r.part >> 1, []).append((r.doc_id, r.part & 1))
+    for own in groups.values():
+        two = any(s for _, s in own)
+        met |= {(a, b) for a, s in own for b, t in own if a < b and (s != t or not two)}
+    assert len(met) == 400 * 399 // 2 and max(map(len, groups.values())) < 160
+
+
 def test_line_query_equals_brute_force(spark, small):
     from shelfcast.llm.queries import QUERIES
 
