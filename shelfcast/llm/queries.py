@@ -11,7 +11,9 @@ from . import (
     html_paths,
     line_dedup,
     mixing,
+    periodic_runs,
     pseudo_likelihood,
+    ranked_search,
     sketch_dedup,
     substring_dedup,
     toxicity,
@@ -23,6 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: SQL of the expected rows, where SQL can express them over whole tables.
+EXPECTED: dict[str, str] = {}
+
 #: Given host-path rules with their verdicts.
 URL_RULES = (
     ("com/", "allow"),
@@ -33,9 +38,11 @@ URL_RULES = (
 )
 
 
-def query(name: str):
+def query(name: str, expected: str | None = None):
     def register(function: Query) -> Query:
         QUERIES[name] = function
+        if expected:
+            EXPECTED[name] = expected
         return function
 
     return register
@@ -109,3 +116,70 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def document_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pseudo_likelihood.pseudo_likelihood(docs)
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the CRC-32 of its doc_id repeats a stretch of its words to its end.
+
+    With g the rest of that number: from word a = g mod n on, the p = 1 + (n - a) div (3 + g mod 8) words
+    after it repeat. Other texts, and texts without words, stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("long").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    marked = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")
+    ).withColumn("n", F.size("words"))
+    a = F.expr("CAST(g % n AS INT)")
+    placed = marked.withColumn("a", F.when(F.col("n") > 0, a))
+    placed = placed.withColumn("p", F.expr("1 + CAST(floor((n - a) / (3 + g % 8)) AS INT)"))
+    repeated = F.expr(
+        "array_join(slice(concat(slice(words, 1, a), "
+        "flatten(array_repeat(slice(words, a + 1, p), CAST(ceil((n - a) / p) AS INT)))), 1, n), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def periods(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS s, -r.period AS p)))")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.s")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.p")).alias("period"),
+        F.expr("(1000 * top.length) div (-top.p)").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+RANKED_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM d GROUP BY ALL),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, whole GROUP BY term, docs),
+items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scores AS (SELECT item_id, doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+           FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+           GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank,
+             doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+@query("op12_ranked_search", RANKED_SQL)
+def ranked(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return ranked_search.rank(docs, table(spark, folder, "benchmark").select("item_id", "text"))
