@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
+    bwt_dedup,
     decontaminate,
     html_paths,
     line_dedup,
@@ -183,3 +184,9 @@ SELECT * FROM ranked WHERE rank <= 50
 def ranked(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return ranked_search.rank(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query("op13_repeated_bytes")
+def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    cut = bwt_dedup.without_repeated_bytes(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
