@@ -3,7 +3,8 @@
 1. Every string of ``length`` bytes has an anchor, its smallest ``SEED``-gram by hash; equal strings have
    equal anchors. The strings of one text with one anchor are a segment of some 130 bytes. Segments
    that are equal as a whole (told by a 128-bit BLAKE2 digest) have the same strings at the same places: the
-   earliest stays in play, the strings of the others are marked.
+   earliest stays in play, the strings of the others are marked. Anchors meet by one shuffle of digests;
+   an anchor that many rows of a sample hold is spread by digest, which changes no result.
 2. Only different segments of one anchor may still share strings. Their bytes are fetched, and anchors
    are dealt to tasks in blocks of about a megabyte. An anchor with more segments than a block holds is
    cut by a longer prefix or suffix around it, until its parts are small: every string holds more
@@ -36,6 +37,8 @@ SEED = 24
 BLOCK_BYTES = 1 << 20
 #: More different segments than this, and an anchor is cut into longer ones.
 ANCHOR_SEGMENTS = 4096
+#: Anchors that are spread over tasks, at most.
+SPREAD = 4096
 #: Bytes of text that a task looks at together.
 TEXT_BYTES = 1 << 18
 #: Neither byte is part of any UTF-8 text.
@@ -179,6 +182,27 @@ def _firsts(batches, same: list[str], keep: list[str]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays(columns, keep).filter(stay)
 
 
+def _alone(batches, spread: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_firsts`` in the order of their key, less those that are alone with it.
+
+    Rows without key pass. Keys of ``spread`` may have rows in other tasks, so their rows pass too.
+    """
+    held, open_ = None, None  # a row that is alone so far; the key of the last row
+    for batch in batches:
+        yield batch.filter(batch.column("key").is_null())
+        batch = batch.filter(batch.column("key").is_valid())
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy(zero_copy_only=False)
+        near = np.concatenate([[held is None and key[0] == open_], key[1:] == key[:-1], [False]])
+        pass_ = near[:-1] | near[1:] | np.isin(key, spread)
+        open_ = key[-1]
+        held = None if pass_[-1] else batch.slice(len(key) - 1)
+        yield batch.filter(pa.array(pass_))
+
+
 def _fetched(batches, length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted segments of each text."""
     for batch in batches:
@@ -363,6 +387,21 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(times, "key")
 
 
+def frequent_anchors(docs: DataFrame, length: int, seed: int) -> list[int]:
+    """Anchors with more rows than a task's fair share, as far as one document in 64 tells.
+
+    At most ``SPREAD``, as each holds that part of all rows. They are dealt out differently, no more.
+    """
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(64)) == 0)
+    rows = sample.mapInArrow(lambda b: _segment_rows(b, length, seed), _SEGMENT).groupBy("key").count()
+    rows = rows.where("key IS NOT NULL")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.agg(F.sum("count")).first()[0] or 0
+    if not total:
+        return []
+    return [r.key for r in rows.where(F.col("count") > max(16, total / min(2 * tasks, SPREAD))).collect()]
+
+
 def repeated_strings(
     docs: DataFrame, length: int = LENGTH, seed: int = SEED, anchor_segments: int = ANCHOR_SEGMENTS
 ) -> DataFrame:
@@ -371,29 +410,31 @@ def repeated_strings(
     Earlier: in a smaller doc_id, or before in the same document. ``docs``: doc_id not null, text.
     """
     spark = docs.sparkSession
+    spread = frequent_anchors(docs, length, seed)
     found = docs.mapInArrow(lambda b: _segment_rows(b, length, seed), _SEGMENT)
-    found = found.repartition("high", "low").sortWithinPartitions("high", "low", "doc_id", "start")
+    dealt = F.coalesce("key", "high")
+    if spread:
+        dealt = F.when(F.col("key").isin(spread), F.col("high")).otherwise(dealt)
+    found = found.repartition(dealt).sortWithinPartitions("key", "high", "low", "doc_id", "start")
     columns = ["key", "doc_id", "start", "run", "back"]
-    settled = written(
-        spark, found.mapInArrow(lambda b: _firsts(b, ["high", "low"], columns), _SETTLED), "segments"
-    )
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _alone(_firsts(batches, ["high", "low"], columns), np.array(spread, np.int64))
+
+    settled = written(spark, found.mapInArrow(settle, _SETTLED), "segments")
     marks = [settled.where("key IS NULL").select("doc_id", "start", "run")]
-    wanted = (
-        _shared(settled.where("key IS NOT NULL"))
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("key", "n", "start", "run", "back")).alias("wanted"))
-    )
+    shared = written(spark, _shared(settled.where("key IS NOT NULL")), "shared-segments")
+    wanted = shared.groupBy("doc_id").agg(F.collect_list(F.struct("key", "n", "start", "run", "back")).alias("wanted"))
     texts = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted")
     schema = "key long, n long, segment binary, doc_id long, start long, run int, back int"
-    rows = written(spark, texts.mapInArrow(lambda b: _fetched(b, length), schema), "segment-texts")
-    rows = rows.withColumn("core", F.lit(seed))
+    rows = texts.mapInArrow(lambda b: _fetched(b, length), schema).withColumn("core", F.lit(seed))
+    large = shared.where(F.col("n") > anchor_segments)
     columns = ["key", "segment", "doc_id", "start", "run", "back", "core"]
     small = []
-    while True:
+    while not large.isEmpty():
+        rows = written(spark, rows, "segment-texts")
         small.append(rows.where(F.col("n") <= anchor_segments))
         large = rows.where(F.col("n") > anchor_segments)
-        if large.isEmpty():
-            break
         schema = "key long, segment binary, doc_id long, start long, run int, back int, core int"
         parts = large.mapInArrow(lambda b: _cut_rows(b, length), schema)
         parts = parts.repartition("key", "segment").sortWithinPartitions("key", "segment", "doc_id", "start")
@@ -401,7 +442,9 @@ def repeated_strings(
             spark, parts.mapInArrow(lambda b: _firsts(b, ["key", "segment"], columns), schema), "cut-anchors"
         )
         marks.append(parts.where("key IS NULL").select("doc_id", "start", "run"))
-        rows = written(spark, _shared(parts.where("key IS NOT NULL")), "cut-segments")
+        rows = _shared(parts.where("key IS NOT NULL"))
+        large = rows.where(F.col("n") > anchor_segments)
+    small.append(rows)
     blocks = reduce(DataFrame.union, [r.select("key", "segment", "doc_id", "start") for r in small])
     blocks = blocks.repartition("key").sortWithinPartitions("key", "doc_id", "start")
     marks.append(blocks.mapInArrow(lambda b: _block_repeats(b, length), "doc_id long, start long, run int"))

@@ -145,3 +145,26 @@ def test_the_query_against_brute_force(spark, small):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect()}
     assert got == expected
     assert any(gone for _, gone, _, _ in expected.values())
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_rows_alone_with_their_key_are_left_out(size):
+    rng = random.Random(size)
+    keys = [None] * 3 + sorted(rng.randrange(40) for _ in range(40))
+    rows = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(range(len(keys)))], ["key", "row"])
+    got = [
+        r["row"]
+        for b in bwt_dedup._alone((rows.slice(i, size) for i in range(0, len(keys), size)), np.array([7, 8]))
+        for r in b.to_pylist()
+    ]
+    assert sorted(got) == [i for i, k in enumerate(keys) if k is None or k in (7, 8) or keys.count(k) > 1]
+
+
+def test_a_frequent_anchor_is_spread(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(160)
+    docs = [(i, noise(90) + passage + noise(90)) for i in range(4000)]
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(4)
+    assert bwt_dedup.frequent_anchors(frame, 100, 24)
+    assert rows_of(bwt_dedup.without_repeated_bytes(frame, anchor_segments=500)) == plain(docs)
