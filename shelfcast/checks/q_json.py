@@ -18,6 +18,7 @@ from ..sources.landed_json import (
     to_json_text,
 )
 from ..session import fresh_path
+from ..sources.responses import discovered_rows, rejects
 from .registry import query, table
 
 
@@ -235,3 +236,87 @@ store_rows AS (
 def store_locator_scan(spark, folder):
     rows = store_rows(store_responses(spark, folder), "body", F.lit("2024-03-01 00:00:00"))
     return rows.drop("ingested_at")
+
+
+# --- bodies that are no documents ----------------------------------------------------------------------
+
+
+def spoiled(spark, folder):
+    """Landed responses of which some are cut off, empty, wrapped in a list, followed by text, or missing."""
+    kind = (F.col("conv_id") * 31 + F.col("turn")) % 12
+    body = F.col("body")
+    broken = (
+        F.when(kind == 0, F.substring(body, F.lit(1), F.length(body) - 3))
+        .when(kind == 1, F.lit(" "))
+        .when(kind == 2, F.concat(F.lit("["), body, F.lit("]")))
+        .when(kind == 3, F.concat(body, F.lit(" x")))
+        .when(kind > 4, body)
+    )
+    return landed(spark, folder).withColumn("body", broken)
+
+
+@query(
+    "s4_rejects",
+    f"""SELECT conv_id AS store_id, CAST(turn AS VARCHAR) AS tcin, {DAYS_SQL},
+  CASE (conv_id * 31 + turn) % 12 WHEN 0 THEN 'not JSON' WHEN 2 THEN 'not a JSON object' WHEN 3 THEN 'not JSON'
+    ELSE 'empty body' END AS reason
+FROM conversations WHERE (conv_id * 31 + turn) % 12 <= 4""",
+)
+def response_rejects(spark, folder):
+    """Bodies that give no fact, with the reason and the load they came with."""
+    return rejects(spoiled(spark, folder), "body", lineage()).drop("body")
+
+
+@query(
+    "n7_broken_bodies",
+    f"""WITH {TURNS_SQL.replace("FROM conversations", "FROM conversations WHERE (conv_id * 31 + turn) % 12 > 4")}
+SELECT store_id, tcin, {DAYS_SQL}, line AS services_line FROM numbered
+UNION ALL SELECT store_id, tcin, {DAYS_SQL}, NULL FROM turns WHERE role = 'system' OR len(lines) <= 1""",
+)
+def facts_beside_broken_bodies(spark, folder):
+    """Broken bodies leave no fact behind."""
+    flat = fulfillment_rows(spoiled(spark, folder), "body", RESPONSE, lineage())
+    return flat.select(*LINEAGE, "services_line")
+
+
+# --- fields that nobody declared -----------------------------------------------------------------------
+
+
+def undeclared(spark, folder):
+    """Responses whose fields differ by role, with a field that is a number or a text."""
+    turn, role = F.col("turn").cast("string"), F.col("role")
+    own = F.when(role == "user", F.concat(F.lit(',"Ratio":'), turn, F.lit(".5"))).when(
+        role == "assistant", F.concat(F.lit(',"Tone":{"Name":"'), F.upper(role), F.lit('"}'))
+    )
+    mixed = F.when(F.col("turn") % 2 == 0, turn).otherwise(F.concat(F.lit('"t'), turn, F.lit('"')))
+    services = F.when(
+        F.col("turn") % 3 > 0,
+        F.concat(
+            F.lit(',"data":{"product":{"fulfillment":{"shipping_options":{"services":[{"n":1},{"n":2,"cost":{"cents":'),
+            turn,
+            F.lit("}}]}}}}"),
+        ),
+    )
+    body = F.concat(
+        F.lit('{"Extra":{"Len.X":'), F.length("text").cast("string"), F.coalesce(own, F.lit("")), F.lit('},"mixed":'),
+        mixed, F.coalesce(services, F.lit("")), F.lit("}"),
+    )
+    return table(spark, folder, "conversations").select("conv_id", "turn", body.alias("body"))
+
+
+@query(
+    "n5_discovered_fields",
+    """WITH c AS (SELECT *, CAST(turn AS VARCHAR) AS t, unnest(CASE WHEN turn % 3 > 0 THEN [1, 2] ELSE [0] END) AS n
+  FROM conversations)
+SELECT conv_id AS store_id, t AS tcin, CAST(length(text) AS BIGINT) AS extra_len_x,
+  CASE WHEN role = 'user' THEN CAST(t || '.5' AS DOUBLE) END AS extra_ratio,
+  CASE WHEN role = 'assistant' THEN upper(role) END AS extra_tone_name,
+  CASE WHEN turn % 2 = 0 THEN t ELSE 't' || t END AS mixed,
+  CAST(nullif(n, 0) AS BIGINT) AS services_n,
+  CASE WHEN n = 2 THEN CAST(turn AS BIGINT) END AS services_cost_cents FROM c""",
+)
+def discovered_fields(spark, folder):
+    rows = discovered_rows(
+        undeclared(spark, folder), "body", {"store_id": "conv_id", "tcin": F.col("turn").cast("string")}
+    )
+    return rows.drop("data_product_fulfillment_shipping_options_services")

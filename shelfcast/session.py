@@ -28,6 +28,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -10,13 +10,18 @@ from ..functions.casting import ColumnOrName, as_column, try_double
 from ..functions.text import address_line, business_key
 from ..operators.columns import flattened, normalised_names
 from ..schemas import PRODUCT_FULFILLMENT, STORE_DATA, STORE_RESPONSE
+from .responses import document
 
 
 def parse_response(
     df: DataFrame, body: str, schema: T.StructType, lineage: Mapping[str, ColumnOrName]
 ) -> DataFrame:
-    """JSON text to typed columns, beside lineage columns; a broken document gives NULLs."""
-    parsed = df.select(
+    """JSON text to typed columns, beside lineage columns.
+
+    A body that is no JSON object gives no row: it is among the ``responses.rejects``. A field of another
+    type than declared is NULL.
+    """
+    parsed = df.where(document(body).isNotNull()).select(
         F.from_json(body, schema).alias("_doc"),
         *[as_column(value).alias(name) for name, value in lineage.items()],
     )
@@ -89,9 +94,10 @@ def as_fulfillment(rows: DataFrame, names: Mapping[str, str] | None = None) -> D
 
 
 def store_rows(df: DataFrame, body: str, ingested_at: Column) -> DataFrame:
-    """Store-locator responses to ``store_data`` rows; responses without stores give none."""
+    """Store-locator responses to ``store_data`` rows; responses without stores, or broken ones, give none."""
     stores = (
-        df.select(F.from_json(body, STORE_RESPONSE).alias("doc"))
+        df.where(document(body).isNotNull())
+        .select(F.from_json(body, STORE_RESPONSE).alias("doc"))
         .select(F.explode("doc.data.nearby_stores.stores").alias("s"))
         .select(
             F.col("s.store_id").alias("store_id"),
