@@ -1,17 +1,24 @@
 """Named Parquet tables that outlive the session.
 
-A table is a folder of versions and a log of them, both under ``base``: replacing a table writes a new
-version folder, adds a row to the log, and moves the catalog's entry to it. The entry is a view of the
-folder, so that it moves in one catalog change whatever the columns are: readers see the old rows or
-the new ones, a failed write changes nothing, and a table may be rebuilt from itself. The log is what
+A table is a folder of versions and a log of its states, both under ``base``. A version holds its rows in
+loads, one folder each; a state names the version, the loads that count, and for a table by day the loads
+of each day. Every write makes a new folder and then a new state: replacing a table starts a version,
+appending adds a load, replacing days lets the new load stand for them. What a failed write left
+behind is in no state, so readers see the old rows or the new ones, and a repeated load is written
+whole again. The catalog's entry is a view of the newest state, moved in one change. The log is what
 counts: a session whose catalog does not know the table (a new process, or one that failed between the
 log and the catalog) finds it there.
+
+States are small files, read and written by the driver's file system without a Spark job.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -19,13 +26,26 @@ from ..operators.columns import align_to
 from ..operators.joins import not_in
 from ..operators.upserts import upserted
 
-_LOG = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("partitions", T.StringType()),
-    ]
-)
+#: Loads are told apart by at most so many values of their ``once`` columns; others by reading the table.
+LOAD_KEYS = 10_000
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class State:
+    """``loads``: the keys of each load that counts (None: not known). ``days``: for a table by one
+    column, the loads of each of its values."""
+
+    version: int
+    folder: str
+    schema: dict
+    partitions: list[str]
+    loads: dict[str, list[str] | None]
+    days: dict[str, list[str]] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> T.StructType:
+        return T.StructType.fromJson(self.schema)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -38,31 +58,89 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(found)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    files, found = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(found)) if files.exists(found) else []
+
+
 def _root(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name.replace('.', '/')}"
 
 
-def _versions(spark: SparkSession, name: str, base: str) -> list:
-    """The table's log, oldest version first. One short row a replacement."""
-    path = f"{_root(base, name)}/versions"
-    if not path_exists(spark, path):
-        return []
-    return spark.read.schema(_LOG).json(path).orderBy("version", "folder").collect()
+def _states(spark: SparkSession, name: str, base: str, last: int) -> list[State]:
+    """The newest states, newest first."""
+    log, found = f"{_root(base, name)}/log", []
+    for file in reversed(_names(spark, log)):
+        if len(found) == last:
+            break
+        files, path = _file_system(spark, f"{log}/{file}")
+        stream = files.open(path)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            found.append(State(**json.loads(text)))
+        except ValueError:  # a writer that failed within the file has changed nothing
+            continue
+    return found
+
+
+def _state(spark: SparkSession, name: str, base: str) -> State | None:
+    return next(iter(_states(spark, name, base, 1)), None)
+
+
+def _commit(spark: SparkSession, name: str, base: str, state: State) -> DataFrame:
+    """Add the state to the log, unless another writer has taken its number, and show it."""
+    files, path = _file_system(spark, f"{_root(base, name)}/log/{state.version:012d}.json")
+    stream = files.create(path, False)
+    try:
+        stream.write(bytearray(json.dumps(asdict(state)), "utf-8"))
+    finally:
+        stream.close()
+    _point(spark, name, base, state)
+    return spark.table(name)
+
+
+def _write_load(spark: SparkSession, root: str, df: DataFrame, folder: str, partition_by: Sequence[str]) -> tuple[str, list[str]]:
+    """The new load's name and, for a table by one column, its values."""
+    load = f"l{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{folder}/_load={load}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    if len(partition_by) != 1:
+        return load, []
+    held = [unquote(n.split("=", 1)[1]) for n in _names(spark, path) if "=" in n]
+    return load, ["" if v == _NO_DAY else v for v in held]
 
 
-def _point(spark: SparkSession, name: str, folder: str) -> None:
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _point(spark: SparkSession, name: str, base: str, state: State) -> None:
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    columns = [f"`{f.name}`" for f in state.columns.fields]
+    if len(state.partitions) == 1:
+        parts = [f"{load}/{day}" for day, loads in state.days.items() for load in loads]
+        shown = f"concat(_load, '/', coalesce(CAST(`{state.partitions[0]}` AS STRING), ''))"
+    else:
+        parts, shown = list(state.loads), "_load"
+    if parts:
+        rows = f"parquet.`{_root(base, name)}/{state.folder}` WHERE {shown} IN ({', '.join(map(_text, parts))})"
+        text = f"SELECT {', '.join(columns)} FROM {rows}"
+    else:  # without files there is nothing to read a schema from
+        nothing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in state.columns.fields]
+        text = f"SELECT {', '.join(nothing)} WHERE FALSE"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
 
 
 def recover_table(spark: SparkSession, name: str, base: str) -> bool:
-    """Point the catalog's entry at the newest version in the log; False if there is none."""
-    versions = _versions(spark, name, base)
-    if not versions:
-        return False
-    _point(spark, name, f"{_root(base, name)}/{versions[-1]['folder']}")
-    return True
+    """Point the catalog's entry at the newest state in the log; False if there is none."""
+    state = _state(spark, name, base)
+    if state:
+        _point(spark, name, base, state)
+    return state is not None
 
 
 def table_exists(spark: SparkSession, name: str, base: str | None = None) -> bool:
@@ -81,19 +159,37 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def _keys(df: DataFrame, once: Sequence[str]) -> list[str] | None:
+    """The loads that a frame holds, by the values of its ``once`` columns; None if they are many."""
+    if not once:
+        return None
+    values = df.select(F.to_json(F.array(*[F.col(c).cast("string") for c in once])).alias("key")).distinct()
+    found = [r.key for r in values.limit(LOAD_KEYS + 1).collect()]
+    return sorted(found) if len(found) <= LOAD_KEYS else None
+
+
 def replace_table(
-    spark: SparkSession, name: str, df: DataFrame, base: str, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    name: str,
+    df: DataFrame,
+    base: str,
+    partition_by: Sequence[str] = (),
+    once: Sequence[str] = (),
 ) -> DataFrame:
     """Write ``df`` as the table's next version. ``df`` may read the old one."""
+    before = _state(spark, name, base)
     folder = uuid.uuid4().hex[:12]
-    path = f"{_root(base, name)}/{folder}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    versions = _versions(spark, name, base)
-    row = (versions[-1]["version"] + 1 if versions else 1, folder, ",".join(partition_by))
-    log = spark.createDataFrame([row], _LOG).coalesce(1)
-    log.write.mode("append").json(f"{_root(base, name)}/versions")
-    _point(spark, name, path)
-    return spark.table(name)
+    load, days = _write_load(spark, _root(base, name), df, folder, partition_by)
+    ordered = [*[f for f in df.schema.fields if f.name not in partition_by], *[df.schema[c] for c in partition_by]]
+    state = State(
+        version=before.version + 1 if before else 1,
+        folder=folder,
+        schema=T.StructType(ordered).jsonValue(),
+        partitions=list(partition_by),
+        loads={load: _keys(df, once)},
+        days={day: [load] for day in days},
+    )
+    return _commit(spark, name, base, state)
 
 
 def ensure_table(
@@ -111,26 +207,49 @@ def refill_table(
     return replace_table(spark, name, align_to(df, schema), base)
 
 
+def _added(state: State, load: str, keys: list[str] | None, days: Sequence[str], gone: Sequence[str]) -> State:
+    """The state after a load, in place of those ``gone``."""
+    kept = {day: [x for x in loads if x not in gone] for day, loads in state.days.items()}
+    for day in days:
+        kept[day] = [*kept.get(day, []), load]
+    return replace(
+        state,
+        version=state.version + 1,
+        loads={**{x: k for x, k in state.loads.items() if x not in gone}, load: keys},
+        days={day: loads for day, loads in kept.items() if loads},
+    )
+
+
 def append_aligned(
     spark: SparkSession, name: str, df: DataFrame, base: str, once: Sequence[str] = ()
 ) -> DataFrame:
     """Create the table from ``df``, or append ``df`` in the stored columns and order.
 
-    ``once`` names columns that tell one load from another: rows of a load that the table already
-    holds are left out, so that a repeated run adds nothing.
+    ``once`` names columns that tell one load from another. A load that ``df`` repeats is written
+    again as a whole, in place of what the table holds of it, so that a repeated run adds nothing and
+    mends a load that lost files. Loads that were written together with others that ``df`` doesn't
+    have stay, and their rows of ``df`` are left out.
     """
-    if not table_exists(spark, name, base):
-        return replace_table(spark, name, df, base)
-    stored = spark.table(name)
-    rows = align_to(df, stored.schema)
-    if once:
-        rows = not_in(rows, stored, once)
-    last = _versions(spark, name, base)[-1]
-    writer = rows.write.mode("append")
-    if last["partitions"]:
-        writer = writer.partitionBy(*last["partitions"].split(","))
-    writer.parquet(f"{_root(base, name)}/{last['folder']}")
-    return spark.table(name)
+    state = _state(spark, name, base)
+    if state is None:
+        return replace_table(spark, name, df, base, once=once)
+    _point(spark, name, base, state)
+    rows = align_to(df, state.columns)
+    keys, gone = _keys(rows, once), []
+    if once and keys == []:
+        return spark.table(name)
+    if once and keys is not None and None not in state.loads.values():
+        gone = [load for load, held in state.loads.items() if held and set(held) <= set(keys)]
+        held = {k for load, own in state.loads.items() if load not in gone for k in own} & set(keys)
+        if held:
+            rows = rows.where(~F.to_json(F.array(*[F.col(c).cast("string") for c in once])).isin(sorted(held)))
+            keys = sorted(set(keys) - held)
+            if not keys:
+                return spark.table(name)
+    elif once:
+        rows = not_in(rows, spark.table(name), once)
+    load, days = _write_load(spark, _root(base, name), rows, state.folder, state.partitions)
+    return _commit(spark, name, base, _added(state, load, keys, days, gone))
 
 
 def append_log(
@@ -165,24 +284,44 @@ def replace_days(
 ) -> DataFrame:
     """Replace the days that ``df`` holds in a table partitioned by ``day``; other days stay.
 
-    ``df`` may read the table. A first call creates it.
+    ``df`` may read the table; rows without a day are a day of their own. A first call creates the table.
     """
-    if not table_exists(spark, name, base):
+    state = _state(spark, name, base)
+    if state is None:
         return replace_table(spark, name, df.hint("rebalance", day), base, [day])
-    last = _versions(spark, name, base)[-1]
-    if last["partitions"] != day:
+    if state.partitions != [day]:
         raise ValueError(f"table {name!r} is not partitioned by {day!r}")
-    overwrite_days(align_to(df, spark.table(name).schema), f"{_root(base, name)}/{last['folder']}", day)
-    return spark.table(name)
+    rows = align_to(df, state.columns).hint("rebalance", day)
+    load, days = _write_load(spark, _root(base, name), rows, state.folder, [day])
+    kept = {d: loads for d, loads in state.days.items() if d not in days}
+    standing = {x for loads in kept.values() for x in loads}
+    loads = {x: k for x, k in state.loads.items() if x in standing}
+    state = replace(state, loads=loads, days=kept)
+    return _commit(spark, name, base, _added(state, load, None, days, []))
 
 
 def drop_old_versions(spark: SparkSession, name: str, base: str, keep: int = 2) -> int:
-    """Delete all but the last ``keep`` version folders; readers of older ones must have ended."""
-    versions = _versions(spark, name, base)
+    """Delete what none of the last ``keep`` states counts; readers of older ones, and writers, must have ended."""
+    root = _root(base, name)
+    states = _states(spark, name, base, max(keep, 1))
+    counted: dict[str, set[str]] = {}
+    for state in states:
+        counted.setdefault(state.folder, set()).update(f"_load={x}" for x in state.loads)
+    old = []
+    for folder in _names(spark, root):
+        if folder in counted:
+            old += [f"{folder}/{x}" for x in _names(spark, f"{root}/{folder}") if x.startswith("_load=") and x not in counted[folder]]
+        elif folder != "log":
+            old.append(folder)
     gone = 0
-    for row in versions[: max(0, len(versions) - max(keep, 1))]:
-        files, folder = _file_system(spark, f"{_root(base, name)}/{row['folder']}")
-        gone += bool(files.exists(folder) and files.delete(folder, True))
+    for path in old:
+        files, found = _file_system(spark, f"{root}/{path}")
+        gone += bool(files.delete(found, True))
+    least = min((s.version for s in states), default=0)
+    for file in _names(spark, f"{root}/log"):
+        if file.split(".")[0].isdigit() and int(file.split(".")[0]) < least:
+            files, found = _file_system(spark, f"{root}/log/{file}")
+            files.delete(found, False)
     return gone
 
 
