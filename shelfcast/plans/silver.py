@@ -165,10 +165,10 @@ def silver(
     load_ts: Column,
     latest_product_only: bool = False,
     after: dt.date | str | None = None,
-    days: Sequence[dt.date] | None = None,
+    days: Sequence[dt.date | None] | None = None,
     with_load_time: bool = False,
 ) -> DataFrame:
-    """The silver table, from the first fact row, past a watermark day, or of the given days.
+    """The silver table, from the first fact row, past a watermark day, or of the given days (None: undated).
 
     Product search holds one row per load, so the join repeats a fact per load, unless
     ``latest_product_only`` keeps the latest load first.
@@ -180,7 +180,8 @@ def silver(
     """
     facts = clean_fulfillment(fulfillment, with_load_time)
     if days is not None:
-        facts = facts.filter(F.col("record_date").isin(list(days)))
+        known = F.col("record_date").isin([d for d in days if d is not None])
+        facts = facts.filter(known | F.col("record_date").isNull() if None in days else known)
     if after is not None:
         facts = newer_than(facts, "record_date", after)
     products = clean_search(search)

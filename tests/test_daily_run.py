@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.plans.daily_run import (
     Run,
     extend_silver,
+    land_responses,
     load_fulfillment,
     load_search,
     load_stores,
@@ -213,11 +214,14 @@ def test_incremental_equals_full(spark, tmp_path):
     stores = spark.createDataFrame([("k", "1", "North", "", "", "", "", "", 1.0, "", NOW)], STORE_DATA)
     keyword = spark.createDataFrame([("k", "r")], "keyword string, region string")
     loads = [(range(0, 20), 3), (range(18, 24), 5), (range(5, 7), 4), (range(24, 26), 2)]
+    undated = {1: ["someday", None], 3: ["someday"]}  # the last but one load has readable days only
     shown = [c for c in gold_columns() if c not in ("silver_load_ts", "gold_load_ts")]
     written = None
     for i, (days, qty) in enumerate(loads):
         now = dt.datetime(2024, 2, 1 + i)
         rows = landed(spark, days, now.isoformat(), qty)
+        for day in undated.get(i, []):
+            rows = rows.unionByName(rows.limit(1).withColumn("record_date", F.lit(day).cast("string")))
         for _ in range(2 if i == 1 else 1):  # repeated as of the same time: nothing changes
             written = run_all(
                 Run(spark, str(tmp_path / "inc"), "inc", now), None, stores, [], None,
@@ -231,10 +235,15 @@ def test_incremental_equals_full(spark, tmp_path):
         "prices": spark.table("inc.price_history"),
     }
     stamp = F.lit(NOW).cast("timestamp")
-    whole = gold(silver(load_ts=stamp, latest_product_only=True, with_load_time=True, **bronze_rows), stamp)
+    whole = silver(load_ts=stamp, latest_product_only=True, with_load_time=True, **bronze_rows)
+    columns = [c for c in whole.columns if c != "silver_load_ts"]
+    every = sorted(map(str, whole.select(*columns).collect()))
+    assert sorted(map(str, spark.table("inc.silver").select(*columns).collect())) == every
+    assert sum("record_date=None" in r for r in every) == 3
+    whole = gold(whole, stamp)
     assert step == sorted(map(str, whole.select(*shown).collect())) and len(step) > 50
     assert spark.table("inc.training_run").count() == len(loads)
-    assert spark.table("inc.product_fulfillment").count() == sum(landed(spark, d, "x", q).count() for d, q in loads)
+    assert spark.table("inc.product_fulfillment").count() == 3 + sum(landed(spark, d, "x", q).count() for d, q in loads)
 
 
 def gold_columns():
@@ -272,6 +281,32 @@ def test_landed_fields_reach_the_table(spark, tmp_path):
     assert sorted(r["location_name"] for r in got) == ["East", "South"]
 
 
+def test_broken_responses_leave_no_facts(spark, tmp_path):
+    """A broken body of a newer load doesn't stand in for the good row of its day."""
+    run = Run(spark, str(tmp_path), "bodies", NOW)
+    good = json.dumps({"data": {"product": {"fulfillment": {"is_sold_out": False, "shipping_options": {
+        "available_to_promise_qty": 6.0, "services": [{"is_two_day_shipping": True, "shiny": 1}]}}}}})
+    lineage = {c: c for c in ("store_id", "tcin", "record_date", "load_date", "load_timestamp")}
+    loads = [("2024-02-01T10:00:00", good), ("2024-02-02T10:00:00", good[:-4]), ("2024-02-03T10:00:00", "[]")]
+    for stamp, body in loads:
+        frame = spark.createDataFrame(
+            [(1, "10", "2024-02-01", stamp[:10], stamp, body)],
+            "store_id long, tcin string, record_date string, load_date string, load_timestamp string, body string",
+        )
+        for _ in range(2):
+            rows = land_responses(run, frame, "body", lineage)
+            if not rows.isEmpty():
+                load_fulfillment(run, None, landed=rows)
+    assert sorted((r.load_timestamp[:10], r.reason) for r in spark.table("bodies.landed_rejects").collect()) == [
+        ("2024-02-02", "not JSON"), ("2024-02-03", "not a JSON object"),
+    ]
+    kept = spark.table("bodies.product_fulfillment")
+    assert [(r.available_to_promise_qty, r.is_two_day_shipping) for r in kept.collect()] == [(6.0, "true")]
+    stamp = F.lit(NOW).cast("timestamp")
+    made = gold(silver(kept, load_ts=stamp, latest_product_only=True, with_load_time=True, **bronze(spark)), stamp)
+    assert [r["available_to_promise_qty"] for r in made.collect()] == [6.0]
+
+
 def test_both_forms_of_role_files(spark, tmp_path):
     roles = spark.createDataFrame([("a", "numerical"), ("b", "id"), ("c", "datetime"), ("d", "boolean"), ("e", "numerical")], "column_name string, sdtype string")
     write_roles(roles, str(tmp_path / "lines"))
