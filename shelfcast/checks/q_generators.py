@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import draws
 from ..operators.joins import choose_observed
 from ..plans import fulfillment as ff
+from ..plans.dependence import fit_tree, pair_counts, sample_tree
+from ..plans.load_marginals import load_sketches, merged_marginals
 from ..plans.copula import cleaned_for_fit, fit_copula, sample_copula
 from ..plans.price_snapshot import cart_threshold, price_snapshot
 from ..plans.search_snapshot import search_snapshot, varied_price, varied_rating
@@ -479,6 +481,68 @@ def many_categories(spark, folder):
     )
 
 
+@query(
+    "g10_merged_sketches",
+    "SELECT name, CAST(i AS INT) AS position, TRUE AS near, n.rows FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in MEASURES)
+    + ") t(name), generate_series(0, 200) s(i), (SELECT count(*) AS rows FROM lineitem) n",
+)
+def merged_sketches(spark, folder):
+    """Quantiles merged from the sketches of each month's load have their ranks in the whole table."""
+    lines = table(spark, folder, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    path = fresh_path(spark, "load-sketches")
+    load_sketches(lines, "month", MEASURES).write.parquet(path)
+    cells = []
+    for m in merged_marginals(lines, spark.read.parquet(path), numeric=MEASURES):
+        for i, q in enumerate(m.quantiles):
+            value, n = F.col(m.name), F.count(F.lit(1))
+            below, upto = (F.sum(c.cast("int")) / n for c in (value < q, value <= q))
+            near = (below <= i / 200 + 5e-3) & (upto >= i / 200 - 5e-3)
+            cells.append(
+                F.struct(F.lit(m.name).alias("name"), F.lit(i).alias("position"), near.alias("near"), n.alias("rows"))
+            )
+    return lines.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+DEPENDENT = """SELECT l_returnflag AS flag, l_linestatus AS status, l_returnflag || (l_linenumber % 2) AS service,
+  CASE WHEN l_quantity < 10 THEN 'few' WHEN l_linestatus = 'O' THEN 'open' END AS size FROM lineitem"""
+DEPENDENT_COLUMNS = ("flag", "status", "service", "size")
+
+
+@query(
+    "g12_pairwise_shares",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, {a} AS u, {b} AS v, TRUE AS fits FROM ({DEPENDENT}) x GROUP BY ALL"
+        for i, a in enumerate(DEPENDENT_COLUMNS)
+        for b in DEPENDENT_COLUMNS[i + 1 :]
+    ),
+)
+def pairwise_shares(spark, folder):
+    """Each pair of values that meet in the table meets as often in the sample, and no other pair does."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_linestatus").alias("status"),
+        F.concat("l_returnflag", (F.col("l_linenumber") % 2).cast("string")).alias("service"),
+        F.when(F.col("l_quantity") < 10, "few").when(F.col("l_linestatus") == "O", "open").alias("size"),
+        "l_quantity",
+    )
+    model = fit_tree(lines, DEPENDENT_COLUMNS, ["l_quantity"])
+    n = lines.count()
+    sample = sample_tree(spark, model, n)
+    missing = "\x00"
+
+    def met(df, name):
+        texts = df.select(*[F.coalesce(c, F.lit(missing)).alias(c) for c in DEPENDENT_COLUMNS])
+        return pair_counts(texts, DEPENDENT_COLUMNS).withColumnRenamed("n", name)
+
+    both = met(lines, "real").join(met(sample, "drawn"), ["a", "b", "u", "v"], "full")
+    close = F.abs(F.coalesce("real", F.lit(0)) - F.coalesce("drawn", F.lit(0))) <= 0.02 * n
+    # Two columns that both depend on a third may meet by chance where they never met.
+    seen = F.col("drawn").isNotNull() & F.col("real").isNotNull()
+    known = lambda c: F.when(F.col(c) != missing, F.col(c)).alias(c)
+    return both.where("real IS NOT NULL OR drawn > 0").select("a", "b", known("u"), known("v"), (close & seen).alias("fits"))
+
+
 @query("g10_copula_fit")
 def copula_fit(spark, folder):
     """The fitted correlation of each pair of columns."""

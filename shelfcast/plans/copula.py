@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..functions.draws import uniform
 from ..functions.numeric import finite_or_null, sentinel_date
 from ..functions.casting import try_timestamp
+from ..operators.bounds import broadcast_if_small
 from ..operators.columns import fill_by_type
 from ..session import fresh_path
 
@@ -66,7 +67,7 @@ class Copula:
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
-def _as_number(column: str, kind: T.DataType) -> Column:
+def as_number(column: str, kind: T.DataType) -> Column:
     """Times as seconds, dates as days."""
     if isinstance(kind, _TIMES):
         return F.unix_micros(F.col(column).cast("timestamp")) / 1e6
@@ -75,7 +76,7 @@ def _as_number(column: str, kind: T.DataType) -> Column:
     return F.col(column).cast("double")
 
 
-def _from_number(column: Column, kind: T.DataType) -> Column:
+def from_number(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, _TIMES):
         return F.timestamp_micros((column * 1e6).cast("long")).cast(kind)
     if isinstance(kind, T.DateType):
@@ -85,11 +86,11 @@ def _from_number(column: Column, kind: T.DataType) -> Column:
     return column.cast(kind)
 
 
-def _numeric_marginals(df: DataFrame, names: Sequence[str], points: int) -> list[Marginal]:
+def numeric_marginals(df: DataFrame, names: Sequence[str], points: int) -> list[Marginal]:
     shares = [i / points for i in range(points + 1)]
     aggregates = [F.count(F.lit(1)).alias("n")]
     for name in names:
-        value = _as_number(name, df.schema[name].dataType)
+        value = as_number(name, df.schema[name].dataType)
         aggregates += [
             F.percentile_approx(value, shares, 50 * points).alias(f"q_{name}"),
             F.count(value).alias(f"n_{name}"),
@@ -106,13 +107,35 @@ def _numeric_marginals(df: DataFrame, names: Sequence[str], points: int) -> list
     return marginals
 
 
-def _categorical_marginals(df: DataFrame, names: Sequence[str], listed: int) -> list[Marginal]:
-    """All columns' value counts in one pass, kept as a table."""
+def _running_shares(counts: DataFrame, known: int) -> DataFrame:
+    """v, lo, hi: cumulative shares in the order of ``v``, by ranges of values and the ranges' sums.
+
+    ``counts``: v (known values, each once) and n. There is a row a range in the one-task window.
+    """
+    spark, path = counts.sparkSession, fresh_path(counts.sparkSession, "copula-ranges")
+    ranged = counts.select("v", "n").repartitionByRange("v").withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_range").agg(F.sum("n").alias("s"))
+    starts = sums.select("_range", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_start"))
+    inside = F.sum("n").over(Window.partitionBy("_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.col("_start") + F.col("_inside")
+    rows = ranged.withColumn("_inside", inside).join(broadcast_if_small(starts), "_range")
+    return rows.select("v", ((upto - F.col("n")) / known).alias("lo"), (upto / known).alias("hi"))
+
+
+def categorical_marginals(
+    df: DataFrame, names: Sequence[str], listed: int, counts: DataFrame | None = None
+) -> list[Marginal]:
+    """All columns' value counts in one pass, or those given (c, v, n), kept as a table."""
     spark = df.sparkSession
-    cells = F.array(*[F.struct(F.lit(n).alias("c"), F.col(n).cast("string").alias("v")) for n in names])
     path = fresh_path(spark, "copula-counts")
-    stacked = df.select(F.explode(cells).alias("cell")).select("cell.*")
-    stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    if counts is None:
+        cells = F.array(*[F.struct(F.lit(n).alias("c"), F.col(n).cast("string").alias("v")) for n in names])
+        stacked = df.select(F.explode(cells).alias("cell")).select("cell.*")
+        counts = stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.parquet(path)
     counts = spark.read.parquet(path)
     sizes = counts.groupBy("c").agg(
         F.count("v").alias("values"),
@@ -138,13 +161,9 @@ def _categorical_marginals(df: DataFrame, names: Sequence[str], listed: int) ->
             )
         else:
             # One row a value: as large as the column has values, not rows.
-            upto = F.sum("n").over(
-                Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-            )
             table = fresh_path(spark, "copula-wide")
-            counts.filter((F.col("c") == name) & F.col("v").isNotNull()).select(
-                "v", ((upto - F.col("n")) / known).alias("lo"), (upto / known).alias("hi")
-            ).write.parquet(table)
+            own = counts.filter((F.col("c") == name) & F.col("v").isNotNull())
+            _running_shares(own, known).write.parquet(table)
             marginals.append(Marginal(name, kind, missing, wide=table, n_wide=size_of[name]["values"]))
     return marginals
 
@@ -157,11 +176,18 @@ def _nearest_correlation(matrix: np.ndarray) -> np.ndarray:
     return lifted / np.outer(scale, scale)
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Over rows that have both; NULL where one of them is constant there."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def _share_columns(df: DataFrame, marginals: Sequence[Marginal]) -> DataFrame:
     """Columns c0, c1, ...: numbers, category texts, and for wide columns the looked-up share."""
     rows = df.select(
         *[
-            (_as_number(m.name, m.data_type) if m.quantiles else F.col(m.name).cast("string")).alias(f"c{i}")
+            (as_number(m.name, m.data_type) if m.quantiles else F.col(m.name).cast("string")).alias(f"c{i}")
             for i, m in enumerate(marginals)
         ]
     )
@@ -180,11 +206,17 @@ def fit_copula(
     points: int = QUANTILES,
     listed: int = LISTED,
     datetimes: Sequence[str] = (),
+    marginals: Sequence[Marginal] | None = None,
 ) -> Copula:
-    """Quantiles of all numbers and times, counts of all categories, then all correlations: a pass each."""
+    """Quantiles of all numbers and times, counts of all categories, then all correlations: a pass each.
+
+    ``marginals`` that are known already (``load_marginals``) stand in for the columns named and the first
+    two passes; then ``df`` may be a part of the rows, from which the correlations are taken.
+    """
     numbers = [*numeric, *datetimes]
-    marginals = (_numeric_marginals(df, numbers, points) if numbers else []) + (
-        _categorical_marginals(df, categorical, listed) if categorical else []
+    marginals = list(marginals) if marginals is not None else (
+        (numeric_marginals(df, numbers, points) if numbers else [])
+        + (categorical_marginals(df, categorical, listed) if categorical else [])
     )
     names = [f"c{i}" for i in range(len(marginals))]
     # Executors get plain lists and functions of numpy and pandas, nothing of this package.
@@ -228,7 +260,7 @@ def fit_copula(
     matrix = np.eye(len(names))
     pairs = [(i, j) for i in range(len(names)) for j in range(i)]
     if pairs:
-        row = clean.agg(*[F.corr(names[i], names[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
+        row = clean.agg(*[_correlation(names[i], names[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
         for i, j in pairs:
             r = row[f"{i}_{j}"]
             matrix[i, j] = matrix[j, i] = 0.0 if r is None or math.isnan(r) else r
@@ -295,7 +327,7 @@ def sample_copula(spark: SparkSession, model: Copula, n: int, seed: int = 42) ->
     return drawn.select(
         "row_id",
         *[
-            (_from_number(F.col(f"c{i}"), m.data_type) if m.quantiles else F.col(f"c{i}").cast(m.data_type)).alias(m.name)
+            (from_number(F.col(f"c{i}"), m.data_type) if m.quantiles else F.col(f"c{i}").cast(m.data_type)).alias(m.name)
             for i, m in enumerate(marginals)
         ],
     )
