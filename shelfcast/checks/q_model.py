@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans import model as lr
 from ..plans.alerts import alert_messages, candidates, new_alerts, send_alerts
-from ..plans.daily_run import Run, run_all
+from ..plans.daily_run import Run, run_all, update_features, update_scores
 from ..plans.features import feature_table, loader_rows, prepared
 from ..plans.trends import generated_trends
 from ..schemas import DATASET, EVENT_KEY, FEATURES, LOADER_FEATURES
@@ -201,6 +201,42 @@ def predictions_consistency(spark, folder):
     )
 
 
+def two_loads_of_gold(spark, folder):
+    """A run whose features were made of all but the last days, then of those."""
+    base = fresh_path(spark, "by-day")
+    run = Run(spark, base, fresh_name("days"), NOW)
+    gold = replace_table(spark, run.name("gold"), gold_rows(spark, folder), base, ["ds"])
+    last = gold.agg(F.max("ds")).first()[0] - dt.timedelta(days=5)
+    update_features(run, gold.filter(F.col("ds") < F.lit(last)))
+    return run, gold, last
+
+
+@query(
+    "m2_features_by_day",
+    f"WITH {FEATURES_SQL} SELECT store_id, product_id, ds AS event_date, {shown(FEATURES)}, brand, category, "
+    "stockout_next_7d AS stockout_label, split FROM sided",
+)
+def features_by_day(spark, folder):
+    """New days are added, and the split of all days follows the new counts."""
+    run, gold, last = two_loads_of_gold(spark, folder)
+    return rounded(update_features(run, gold, last).drop("created_at"))
+
+
+@query(
+    "m8_new_days_only",
+    f"WITH {SCALED_SQL} SELECT store_id, product_id, event_date, round(p, 9) AS predicted_stockout_proba, "
+    f"CAST(p >= 0.5 AS INT) AS predicted_stockout_flag FROM (SELECT *, {GIVEN_PROBA} AS p FROM scaled) x",
+)
+def scores_of_new_days(spark, folder):
+    """A model scores the old days, then only the new ones; together they are the whole table."""
+    run, gold, last = two_loads_of_gold(spark, folder)
+    features = update_features(run, gold, last)
+    model = model_of_given_weights(features)
+    update_scores(run, features.filter(F.col("event_date") < F.lit(last)), model)
+    scored = update_scores(run, features, model, last)
+    return rounded(scored.select(*EVENT_KEY, "predicted_stockout_proba", "predicted_stockout_flag"), 9)
+
+
 @query("m9_evaluation_record")
 def evaluation_record(spark, folder):
     rows = stored_features(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TRAIN_SHARE = 0.70
 
@@ -12,7 +12,11 @@ def day_ranks(df: DataFrame, day: str) -> DataFrame:
 
     Rows are counted per day first, so the ordered window sees only as many rows as there are days.
     """
-    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
+    return ranks_of_counts(df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows")), day)
+
+
+def ranks_of_counts(counts: DataFrame, day: str) -> DataFrame:
+    """``day_ranks`` of rows counted already: the day and ``_rows``."""
     ordered = Window.orderBy(F.col(day).asc_nulls_last())
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.col(day).asc_nulls_last()).rowsBetween(
@@ -32,7 +36,11 @@ def with_percent_rank(df: DataFrame, day: str) -> DataFrame:
     return df.join(F.broadcast(ranks), F.col(day).eqNullSafe(F.col("_day")), "left").drop("_day")
 
 
+def side_of(rank: Column, train_share: float = TRAIN_SHARE) -> Column:
+    return F.when(rank < train_share, "train").otherwise("test")
+
+
 def with_split(df: DataFrame, day: str, train_share: float = TRAIN_SHARE) -> DataFrame:
     """Add ``split``: 'train' or 'test'; a day is never divided."""
-    side = F.when(F.col("day_rank") < train_share, "train").otherwise("test")
-    return with_percent_rank(df, day).withColumn("split", side).drop("day_rank")
+    ranked = with_percent_rank(df, day)
+    return ranked.withColumn("split", side_of(F.col("day_rank"), train_share)).drop("day_rank")

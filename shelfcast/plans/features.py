@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.flags import flag_to_int
-from ..operators.splits import TRAIN_SHARE, with_split
+from ..operators.splits import TRAIN_SHARE, ranks_of_counts, side_of, with_split
 from ..schemas import FEATURES, LOADER_FEATURES
 
 
-def feature_table(
-    gold: DataFrame, created_at: Column | None = None, train_share: float = TRAIN_SHARE
-) -> DataFrame:
-    """Labelled rows with a temporal split; brand and category ride along."""
-    labelled = gold.filter(F.col("stockout_next_7d").isNotNull())
+def _feature_columns(created_at: Column | None, split: bool) -> list:
     position = FEATURES.index("reg_retail_max") + 1
     columns = [
         "store_id",
@@ -24,11 +20,31 @@ def feature_table(
         "category",
         *FEATURES[position:],
         F.col("stockout_next_7d").alias("stockout_label"),
-        "split",
+        *(["split"] if split else []),
     ]
-    if created_at is not None:
-        columns.append(created_at.alias("created_at"))
-    return with_split(labelled, "ds", train_share).select(*columns)
+    return columns if created_at is None else [*columns, created_at.alias("created_at")]
+
+
+def feature_table(
+    gold: DataFrame, created_at: Column | None = None, train_share: float = TRAIN_SHARE
+) -> DataFrame:
+    """Labelled rows with a temporal split; brand and category ride along."""
+    labelled = gold.filter(F.col("stockout_next_7d").isNotNull())
+    return with_split(labelled, "ds", train_share).select(*_feature_columns(created_at, split=True))
+
+
+def unsplit_features(gold: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """``feature_table`` without the split, which depends on all days: a day's rows follow from its gold rows."""
+    labelled = gold.filter(F.col("stockout_next_7d").isNotNull())
+    return labelled.select(*_feature_columns(created_at, split=False))
+
+
+def feature_days(counts: DataFrame, train_share: float = TRAIN_SHARE) -> DataFrame:
+    """event_date, rows, split: a row a day, from the days' row counts (event_date, rows)."""
+    ranks = ranks_of_counts(counts.withColumnRenamed("rows", "_rows"), "event_date")
+    return counts.join(ranks, "event_date").select(
+        "event_date", "rows", side_of(F.col("day_rank"), train_share).alias("split")
+    )
 
 
 def loader_rows(gold: DataFrame, side: str, train_share: float = TRAIN_SHARE) -> DataFrame:

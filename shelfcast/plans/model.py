@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import short_id
 from ..operators.aggregates import feature_stats, latest_row
 from ..operators.metrics import accuracy, f1, roc_auc
-from ..schemas import EVENT_KEY, FEATURES
+from ..schemas import EVENT_KEY, FEATURES, MODEL_WEIGHTS
 from .features import prepared
 
 FLAG_THRESHOLD = 0.5
@@ -90,6 +91,25 @@ def fit(features: DataFrame, max_iter: int = MAX_ITERATIONS, tol: float = 1e-8)
     return StockoutModel(scaler, [float(c) for c in fitted.coefficients], float(fitted.intercept))
 
 
+def weight_rows(spark: SparkSession, model: StockoutModel, version_id: str, trained_at: dt.datetime) -> DataFrame:
+    """A fitted model as a row an input."""
+    scaler = model.scaler
+    rows = zip(scaler.names, scaler.means, scaler.deviations, model.coefficients, strict=True)
+    return spark.createDataFrame(
+        [(version_id, trained_at, i, *row, model.intercept) for i, row in enumerate(rows)], MODEL_WEIGHTS
+    )
+
+
+def stored_model(weights: DataFrame) -> StockoutModel | None:
+    """The model trained last; None if none is stored."""
+    last = latest_row(weights, "trained_at", ["trained_at", "model_version_id"]).first()
+    if last is None:
+        return None
+    rows = weights.filter(F.col("model_version_id") == last["model_version_id"]).sort("position").collect()
+    scaler = Scaler([r["name"] for r in rows], [r["mean"] for r in rows], [r["deviation"] for r in rows])
+    return StockoutModel(scaler, [r["coefficient"] for r in rows], rows[0]["intercept"])
+
+
 def with_scores(rows: DataFrame, model: StockoutModel, threshold: float = FLAG_THRESHOLD) -> DataFrame:
     """Add probability and 0/1 flag to prepared rows."""
     return rows.withColumn("predicted_stockout_proba", model.probability()).withColumn(

@@ -109,6 +109,11 @@ MODEL_VERSION = _schema(
     "metrics_json STRING, status STRING"
 )
 
+MODEL_WEIGHTS = _schema(
+    "model_version_id STRING, trained_at TIMESTAMP, position INT, name STRING, mean DOUBLE, "
+    "deviation DOUBLE, coefficient DOUBLE, intercept DOUBLE"
+)
+
 COLUMN_ROLES = _schema("column_name STRING, sdtype STRING")
 
 SERIES_KEY = ["store_id", "product_id"]

@@ -300,6 +300,15 @@ def replace_days(
     return _commit(spark, name, base, _added(state, load, None, days, []))
 
 
+def newest_days(spark: SparkSession, name: str, base: str) -> list[str]:
+    """The values that the last load of a table by one column holds, as text; from the log alone."""
+    state = _state(spark, name, base)
+    if state is None or not state.loads:
+        return []
+    last = list(state.loads)[-1]
+    return [day for day, loads in state.days.items() if last in loads]
+
+
 def drop_old_versions(spark: SparkSession, name: str, base: str, keep: int = 2) -> int:
     """Delete what none of the last ``keep`` states counts; readers of older ones, and writers, must have ended."""
     root = _root(base, name)
