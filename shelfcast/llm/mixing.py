@@ -4,7 +4,8 @@ Targets share the corpus by weight; a source stops at ``most`` times its size an
 reshared. The total is cut into blocks of ``block`` words, which sources get by highest quotients
 target / (2 q + 1); a source's blocks go to its shards in the same way, by the shards' sizes. A shard
 lays its documents out in a seeded order, takes every block as often as its quota allows for all of
-them, and the rest of the quota by a seeded ranking of the blocks.
+them, and the rest of the quota by a seeded ranking of the blocks. Part blocks, at a shard's end and of
+the target, are settled in words, so that a source gives its target to the word.
 """
 
 from __future__ import annotations
@@ -110,28 +111,54 @@ def sized(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "doc_id long, source string, size long")
 
 
-def take_blocks(sizes: np.ndarray, quota: int, block: int, most: int, seed: int):
-    """Words of each document, in the given order, that ``quota`` blocks of the shard hold.
+def settle(quotas: Sequence[int], sizes: Sequence[int], target: int, block: int, most: int) -> list[int]:
+    """Words that each shard gives: its blocks, then what the source lacks of ``target`` or has beyond it.
 
-    Returns the words taken by document, and the pieces (document, begin, end, times) they lie in.
+    A shard gives at most ``most`` times its size, so quotas alone miss the target by part blocks; the
+    difference goes to the shards in order, as far as they have room.
+    """
+    words = [min(q * block, most * size) for q, size in zip(quotas, sizes)]
+    rest = target - sum(words)
+    for i, size in enumerate(sizes):
+        step = max(-words[i], min(most * size - words[i], rest))
+        words[i] += step
+        rest -= step
+    return words
+
+
+def take_blocks(sizes: np.ndarray, words: int, block: int, most: int, seed: int):
+    """Words of each document, in the given order, that make up ``words`` words of the shard.
+
+    Every block is taken as often as ``words`` allows for all of them, then once more by a seeded
+    ranking; of the last one only as many words as are left. Returns the words taken by document, and
+    the pieces (document, begin, end, times) they lie in.
     """
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     count = -(-total // block)
     none = np.zeros(0, np.int64)
-    if not total or quota <= 0:
+    if not total or words <= 0:
         return np.zeros(len(sizes), np.int64), none, none, none, none
-    rounds, extra = divmod(quota, count)
+    rounds, extra = divmod(words, total)
     if rounds >= most:
         rounds, extra = most, 0
-    times = np.full(count, rounds, np.int64)
-    rank = mixed(np.arange(count, dtype=np.uint64) + np.uint64(seed % (1 << 63)))
-    times[np.argsort(rank, kind="stable")[:extra]] += 1
+    rank = np.argsort(mixed(np.arange(count, dtype=np.uint64) + np.uint64(seed % (1 << 63))), kind="stable")
+    length = np.full(count, block, np.int64)
+    length[-1] = total - (count - 1) * block
+    upto = np.cumsum(length[rank])
+    whole = int(np.searchsorted(upto, extra, side="right"))
+    # Words from its beginning that each block gives once more.
+    more = np.zeros(count, np.int64)
+    more[rank[:whole]] = length[rank[:whole]]
+    if whole < count:
+        more[rank[whole]] = extra - (int(upto[whole - 1]) if whole else 0)
     begins = ends - sizes
-    cuts = np.unique(np.concatenate([begins[sizes > 0], np.arange(count, dtype=np.int64) * block]))
+    edges = np.arange(count, dtype=np.int64) * block
+    part = np.flatnonzero((more > 0) & (more < length))
+    cuts = np.unique(np.concatenate([begins[sizes > 0], edges, edges[part] + more[part]]))
     stops = np.append(cuts[1:], total)
     doc = np.searchsorted(ends, cuts, side="right")
-    each = times[cuts // block]
+    each = rounds + (cuts - edges[cuts // block] < more[cuts // block])
     taken = np.bincount(doc, weights=each * (stops - cuts), minlength=len(sizes)).astype(np.int64)
     on = each > 0
     return taken, doc[on], (cuts - begins[doc])[on], (stops - begins[doc])[on], each[on]
@@ -156,7 +183,8 @@ def mix(
     A null or empty text has size 0 and gives nothing. Repeated rows and null doc_ids are documents
     of their own. An empty table gives an empty plan. Sources are configuration: more than
     ``MAX_SOURCES`` of them raise an error. A large source has many shards, so no task depends on
-    one source; shards hold at least ``shard_words`` words. Results depend on
+    one source; shards hold at least ``shard_words`` words. A source gives its target, rounded to words,
+    however small it is (never more than ``most`` times its size). Results depend on
     doc_id, source and text alone, so reruns agree.
     """
     spark = docs.sparkSession
@@ -197,7 +225,9 @@ def mix(
     quota = {}
     for number, rows in parts.items():
         rows.sort()
-        for (shard, _), q in zip(rows, apportion([s for _, s in rows], seats[number])):
+        held = [s for _, s in rows]
+        words = settle(apportion(held, seats[number]), held, round(targets[number]), block, most)
+        for (shard, _), q in zip(rows, words):
             quota[number, shard] = q
 
     def select(table: pa.Table) -> pa.Table:
