@@ -8,7 +8,7 @@ megabyte of whole texts, which bounds memory whatever an Arrow batch holds.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -159,6 +159,14 @@ def unsigned(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores added until no column has it (names count in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: later jobs reread it instead of computing it again.
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -32,6 +33,17 @@ CASES = [
     ("<article><p>a</p><form><input><label>x</label></form><aside>s</aside><ul><li>one<li>two</ul></article>", "a\n\none\n\ntwo"),
     ("<main><h1>H</h1><p>1 < 2 and 3 > 2</p></main>", "H\n\n1 < 2 and 3 > 2"),
     ("<div class='sidebar'><p>many words in the sidebar</p></div><div class='post'><h1>H</h1><p>x</p></div>", "H\n\nx"),
+    ("<div class='layout has-sidebar'><article><p>kept</p></article></div>", "kept"),
+    ("<div class='content no-sidebar'><h1>H</h1><p>x</p></div>", "H\n\nx"),
+    ("<div class='sidebar wide'><article><p>the only text here</p></article></div>", "the only text here"),
+    ("<form action='/'><div class='body'><p>x y</p><p>z</p></div></form>", "x y\n\nz"),
+    ("<article><section id='related-work'><h2 id='social-impact'>S</h2><p class='side-effects'>e</p></section></article>", "S\n\ne"),
+    ("<article><p>a</p><div id='comments'><p>first!</p></div><div class='wp-block-search'>s</div></article>", "a"),
+    ("<article><p>one</p><div class='related-posts'><p>r</p></div><span class='share-buttons'>s</span></article>", "one"),
+    ("<aside><article><p>A teaser of another page</p></article></aside><div class='post'><p>The text of this page</p></div>", "The text of this page"),
+    ("<article><p>main text of the page</p></article><div class='comments'><article><p>a reader</p></article></div>", "main text of the page"),
+    ("<article><div class='[&>p]:mt-4'><p>x</p></div></article>", "x"),
+    ("<div class='menu'>m</div>", None),
     ("<article><div class='entry-header'><h1>H</h1></div><p>x</p><p class='promo'>y</p></article>", "H\n\nx"),
 ]
 
@@ -50,6 +62,22 @@ def test_broken_pages():
     assert own.text([own.proposal()]) == "a b\n\ncut in the mid"
 
 
+def test_deep_pages_take_time_by_their_length():
+    """Fifty thousand nested containers, end tags that nothing opened, inline elements left open."""
+    deep = "<div class='x'>" * 50_000 + "<p>text</p>" + "</b>" * 50_000
+    began = time.monotonic()
+    own = html_paths.Page(deep + "</div>" * 50_000 + "<b><p>" * 20_000)
+    assert own.text([own.proposal()]) == "text"
+    assert time.monotonic() - began < 20
+
+
+def test_clashing_columns_of_pages(spark):
+    rows = [(1, "http://a.b/", "<article>x</article>", "p", "q", "r", 5, 2)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, paths string, of_host string, own_host string, page_host int, text int")
+    (got,) = html_paths.main_texts(df).collect()
+    assert (got.paths, got.of_host, got.own_host, got.page_host, got.text, got.n_chars) == ("p", "q", "r", 5, "x", 1)
+
+
 def test_host_paths_decide(spark):
     """A page whose article is short follows the path its host's other pages agree on."""
     rest = "<div class='x1'>Read this too: a long piece of text that no mark gives away, of many words.</div>"
