@@ -2,7 +2,8 @@
 
 The trees are built on a bounded sample; every vector is put into its leaf of each tree. A query walks
 all trees through one priority queue ordered by the distance to the planes it has not crossed, until
-it has opened ``search_leaves`` leaves, and the vectors of those leaves are ranked exactly.
+it has opened ``search_leaves`` leaves and these surely hold ``LEAST`` times the vectors it wants; the
+vectors of those leaves are ranked exactly.
 
 Vectors get one more coordinate that makes all norms equal, so that nearness in the trees follows the
 inner product also where norms differ.
@@ -24,6 +25,8 @@ SAMPLE = 20_000
 TREES = 8
 DEPTH = 7
 SEARCH_LEAVES = 144
+#: Leaves of one tree share no vector, so those opened in the fullest tree must hold k times this many.
+LEAST = 30
 #: Vectors ranked together by one task; larger leaves are cut.
 BIN_ROWS = 20_000
 
@@ -81,14 +84,21 @@ def leaves(forest: Forest, points: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(forest: Forest, query: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """(tree, leaf) to open for a query, nearest planes first, in one queue for all trees."""
+def search(
+    forest: Forest, query: np.ndarray, limit: int, counts: np.ndarray, least: int
+) -> list[tuple[int, int]]:
+    """(tree, leaf) to open for a query, nearest planes first, in one queue for all trees.
+
+    Stops after ``limit`` leaves, but not before those of some tree hold ``least`` vectors by ``counts``
+    (tree, leaf), or all leaves are open.
+    """
     inner = forest.planes.shape[1]
     scaled = query * (forest.norm / np.sqrt((query.astype(float) ** 2).sum()))
     side = forest.planes @ np.append(scaled, 0.0).astype(np.float32) - forest.cuts
     queue = [(0.0, t, 0) for t in range(len(side))]
     found: list[tuple[int, int]] = []
-    while queue and len(found) < limit:
+    held = [0] * len(side)
+    while queue and (len(found) < limit or max(held) < least):
         bound, t, node = heapq.heappop(queue)
         while node < inner:
             along = float(side[t, node])
@@ -96,6 +106,7 @@ def search(forest: Forest, query: np.ndarray, limit: int) -> list[tuple[int, int
             heapq.heappush(queue, (max(bound, abs(along)), t, 4 * node + 3 - near))
             node = near
         found.append((t, node - inner))
+        held[t] += int(counts[t, node - inner])
     return found
 
 
@@ -142,7 +153,9 @@ def nearest(
     Queries are the rows whose vec_id is divisible by ``every``, or those of ``queries`` (vec_id).
     A query's own row is no candidate. The forest is built on at most ``sample`` rows, those with the
     smallest hash of their vec_id; all rows are indexed. See ``usable`` for the rows that take part;
-    other columns are ignored. Scores are inner products of the vectors themselves in double precision.
+    other columns are ignored. Scores are inner products of the vectors themselves in double precision;
+    ties go to the smaller vec_id. A query finds ``k`` rows, or all others where there are fewer: up to
+    ``LEAST * k`` rows every one is ranked. An empty table, or one without usable rows, has no result.
     """
     spark = vectors.sparkSession
     rows = written(spark, usable(vectors), "forest-vectors")
@@ -165,6 +178,10 @@ def nearest(
     in_leaf = indexed.select("vec_id", "embedding", F.explode("leaves").alias("leaf"))
     # At most trees * 2 ** depth counts.
     sizes = indexed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()
+    counts = np.zeros((trees, per_tree), np.int64)
+    for r in sizes:
+        counts[divmod(r["leaf"], per_tree)] = r["count"]
+    least = LEAST * k + 1  # the query's own row is no candidate
     bins, used = {}, 0
     count, fill = 1, 0
     for r in sorted(sizes):
@@ -190,7 +207,7 @@ def nearest(
             lists, own_bins, at = [], [], []
             for i, q in enumerate(batch.column("embedding").to_numpy(zero_copy_only=False)):
                 opened: dict[int, list[int]] = {}
-                for t, leaf in search(forest, np.asarray(q), search_leaves):
+                for t, leaf in search(forest, np.asarray(q), search_leaves, counts, least):
                     first, n = bins.get(t * per_tree + leaf, (0, 0))
                     for b in range(first, first + n):
                         opened.setdefault(b, []).append(t * per_tree + leaf)
