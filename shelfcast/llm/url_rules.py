@@ -4,6 +4,9 @@ A url becomes a set of tokens (host suffixes, path segments, query keys). FP-gro
 with their label finds the token combinations that go with a label; those with enough support and
 confidence, and no smaller combination that already decides, are the mined rules. An inverted index
 from one token of each rule to the rule finds the rules of a url.
+
+Tokens that the same urls have (a site's name and the first folder that all its pages share) would
+make every combination of them frequent; such tokens are mined as one, so that support bounds the rules.
 """
 
 from __future__ import annotations
@@ -12,9 +15,10 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .urls import host_of, path_of
+from .words import unused
 
 ALLOW, BLOCK = "allow", "block"
 MIN_SUPPORT = 0.01
@@ -38,26 +42,63 @@ def rule_column(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
 
 
 def tokens(url: Column) -> Column:
-    """Distinct tokens: the last three host suffixes, the first path segments, file type, query keys.
+    """Distinct tokens: every host suffix, every path segment by its place, file type, query keys.
 
-    Digits count as ``#``, so that numbered pages share tokens. A null url has none.
+    Digits of the path count as ``#``, so that numbered pages share tokens. A null url, or one without
+    host, has none.
     """
+    none = F.array().cast("array<string>")
     labels = F.split(host_of(url), r"\.")
     n = F.size(labels)
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.least(n, F.lit(3))),
+        F.sequence(F.lit(1), n),
         lambda k: F.concat(F.lit("host="), F.array_join(F.slice(labels, n - k + 1, k), ".")),
     )
     path = F.regexp_replace(path_of(url), r"\d+", "#")
-    segments = F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, 2)
+    segments = F.filter(F.split(path, "/"), lambda x: x != "")
     segments = F.transform(segments, lambda x, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), x))
     kind = F.regexp_extract(path, r"\.([A-Za-z]{1,5})$", 1)
     query = F.regexp_extract(url.cast("string"), r"\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.split_part(x, F.lit("="), F.lit(1))), lambda x: x != "")
     keys = F.transform(keys, lambda x: F.concat(F.lit("key="), x))
-    kinds = F.when(kind != "", F.array(F.concat(F.lit("type="), kind))).otherwise(F.array().cast("array<string>"))
+    kinds = F.when(kind != "", F.array(F.concat(F.lit("type="), kind))).otherwise(none)
     found = F.array_distinct(F.concat(suffixes, segments, kinds, keys))
-    return F.when(host_of(url) != "", found).otherwise(F.array().cast("array<string>"))
+    return F.when(host_of(url) != "", found).otherwise(none)
+
+
+def same_urls(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> dict[str, str]:
+    """Each frequent token of ``labelled`` (tokens, label) to the smallest one that the same urls have.
+
+    At most (tokens of a url on average) / min_support tokens are frequent, whatever the rows. Sets of
+    urls are told apart by their number and the sum of their hashes.
+    """
+    rows = labelled.where("label IS NOT NULL AND size(tokens) > 0")
+    least = min_support * rows.count()
+    mark = F.xxhash64("tokens").cast("decimal(38,0)")
+    found = (
+        rows.select(F.explode("tokens").alias("token"), mark.alias("mark"))
+        .groupBy("token")
+        .agg(F.count("*").alias("n"), F.sum("mark").alias("marks"))
+        .where(F.col("n") >= least)
+        .collect()
+    )
+    first: dict[tuple[int, object], str] = {}
+    for r in sorted(found, key=lambda r: r["token"]):
+        first.setdefault((r["n"], r["marks"]), r["token"])
+    return {r["token"]: first[r["n"], r["marks"]] for r in found}
+
+
+def merged(labelled: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``labelled`` with each token replaced by its name; tokens without one, too rare for a rule, go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [sorted({names[t] for t in own if t in names}) for own in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lists, pa.list_(pa.string())), batch.column("label")], ["tokens", "label"]
+            )
+
+    return labelled.select("tokens", "label").mapInArrow(run, "tokens array<string>, label string")
 
 
 def mine(
@@ -124,31 +165,38 @@ def judge(
 
     ``labelled`` (url, label) are the urls to mine; without it, the urls that a given rule judges.
     Where no given rule fits, the mined rules decide, and where none of those fits: allow. A null or
-    malformed url has empty host and path, no rule, and is allowed; repeated rows are judged alike.
+    malformed url has empty host and path, no rule, and is allowed; repeated rows are judged alike. Other
+    columns pass through under any name. Whole urls count, whatever their length; an empty table gives an
+    empty one, and without labelled urls nothing is mined. Among fitting rules the highest confidence
+    decides, then support, then the number of tokens, then the names.
     """
     base = pages.drop("host", "path", "rule", "verdict")
-    host, path = host_of(F.col("url")), path_of(F.col("url"))
-    rows = base.withColumn("host", host).withColumn("path", path)
+    given, own_tokens = unused(base.columns, "given"), unused(base.columns, "tokens")
+    rows = base.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rule, verdict = rule_column(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("given", verdict)
+    rows = rows.withColumn("rule", rule).withColumn(given, verdict)
     if labelled is None:
-        known = rows.where("given IS NOT NULL").select(tokens(F.col("url")).alias("tokens"), F.col("given").alias("label"))
+        known = rows.where(F.col(given).isNotNull()).select(
+            tokens(F.col("url")).alias("tokens"), F.col(given).alias("label")
+        )
     else:
         known = labelled.select(tokens(F.col("url")).alias("tokens"), F.col("label").cast("string"))
-    mined = mine(known)
+    names = same_urls(known)
+    # Few labelled rows, or none, make no token frequent.
+    mined = mine(merged(known, names)) if names else []
     index = inverted(mined)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column("given").to_pylist()
             verdicts = [
-                g if g is not None else decide(own, mined, index)
-                for g, own in zip(given, batch.column("tokens").to_pylist())
+                g if g is not None else decide([names[t] for t in own if t in names], mined, index)
+                for g, own in zip(batch.column(given).to_pylist(), batch.column(own_tokens).to_pylist())
             ]
-            columns = [c for c in batch.schema.names if c not in ("given", "tokens")]
+            columns = [c for c in batch.schema.names if c not in (given, own_tokens)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(verdicts, pa.string())], [*columns, "verdict"]
             )
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "given")
-    return rows.withColumn("tokens", tokens(F.col("url"))).mapInArrow(run, f"{fields}verdict string")
+    fields = [f for f in rows.schema if f.name != given]
+    schema = T.StructType([*fields, T.StructField("verdict", T.StringType())])
+    return rows.withColumn(own_tokens, tokens(F.col("url"))).mapInArrow(run, schema)
