@@ -16,7 +16,9 @@ from ..operators.aggregates import (
     watermark_frame,
 )
 from ..operators.metrics import accuracy, f1, roc_auc
+from ..session import fresh_path
 from ..sources.column_roles import detect_roles
+from ..sources.load_roles import load_distincts, merged_roles
 from .q_sinks import id_or
 from .registry import query, table
 from .standins import SILVER_SQL, rounded, silver_rows
@@ -220,3 +222,28 @@ def column_roles(spark, folder):
         datetime_columns=["l_shipdate"],
         categorical_columns=["l_suppkey", "l_partkey"],
     )
+
+
+ORDER_ROLES = [
+    ("o_orderkey", id_or("o_orderkey", "numerical")),
+    ("o_custkey", id_or("o_custkey", "numerical")),
+    ("o_orderstatus", id_or("o_orderstatus", "categorical")),
+    ("o_orderpriority", id_or("o_orderpriority", "categorical")),
+    ("o_totalprice", "max('numerical')"),
+]
+
+
+@query(
+    "a14_roles_of_merged_loads",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, {role} AS sdtype FROM orders" for name, role in ORDER_ROLES
+    ),
+)
+def roles_of_merged_loads(spark, folder):
+    """Sketches kept by year of the order, merged without reading the orders again."""
+    orders = table(spark, folder, "orders")
+    names = [name for name, _ in ORDER_ROLES]
+    path = fresh_path(spark, "distincts")
+    year = F.substring(F.col("o_orderdate").cast("string"), 1, 4)
+    load_distincts(orders.select(*names, year.alias("year")), "year", names).write.parquet(path)
+    return merged_roles(orders.select(*names).schema, spark.read.parquet(path))

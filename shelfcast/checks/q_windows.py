@@ -15,7 +15,10 @@ from ..operators.series import (
 from ..operators.splits import with_percent_rank, with_split
 from ..plans.gold import GOLD_COLUMNS
 from ..schemas import GOLD_KEY, SERIES_KEY
-from .registry import query
+from ..session import fresh_path
+from ..streaming.newest_rows import take_newest
+from .q_sinks import fresh_name
+from .registry import query, table
 from .standins import DAILY_SQL, GOLD_SQL, SILVER_SQL, daily, gold_rows, gold_select, rounded, silver_rows
 
 KEYS = ", ".join(GOLD_KEY)
@@ -44,6 +47,28 @@ def latest_per_day(spark, folder):
     return latest.select(*GOLD_KEY, "event_id")
 
 
+@query(
+    "w1_latest_by_stream",
+    "SELECT l_partkey, l_suppkey, l_shipdate, l_orderkey, l_linenumber FROM "
+    "(SELECT l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS l_shipdate, l_orderkey, l_linenumber, row_number() OVER "
+    "(PARTITION BY l_partkey, l_suppkey ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey, l_linenumber) AS n "
+    "FROM lineitem) WHERE n = 1",
+)
+def latest_by_stream(spark, folder):
+    """The newest line of each part and supplier, kept by a stream over two landings, the newer days first."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_orderkey", "l_linenumber"
+    )
+    landing, base, checkpoint = (fresh_path(spark, x) for x in ("landing", "tables", "newest"))
+    name = fresh_name("newest")
+    for newer in (True, False):
+        lines.filter((F.year("l_shipdate") >= 1995) == newer).write.mode("append").parquet(landing)
+        found = take_newest(
+            spark, landing, lines.schema, ["l_partkey", "l_suppkey"], ["l_shipdate"], name, base, checkpoint
+        )
+    return found
+
+
 def _rolling(name, source, aggregate):
     @query(name, gold_select([*GOLD_KEY, source[1]], "rolled"))
     def run(spark, folder):

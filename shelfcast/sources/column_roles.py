@@ -12,6 +12,32 @@ ID_SHARE = 0.95
 DISTINCT_ERROR = 0.01
 
 
+def fixed_role(
+    field: T.StructField,
+    datetime_columns: Sequence[str] = (),
+    boolean_prefixes: Sequence[str] = (),
+    categorical_columns: Sequence[str] = (),
+) -> tuple[str, bool]:
+    """The role of a column by overrides and type, and whether its values may make it an id."""
+    if field.name in categorical_columns:
+        return "categorical", False
+    if any(field.name.startswith(p) for p in boolean_prefixes):
+        return "boolean", False
+    if field.name in datetime_columns:
+        return "datetime", False
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "datetime", False
+    if isinstance(field.dataType, T.BooleanType):
+        return "boolean", False
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return "numerical", False
+    if isinstance(field.dataType, T.StringType):
+        return "categorical", True
+    if isinstance(field.dataType, T.IntegralType):
+        return "numerical", True
+    return "unknown", False
+
+
 def detect_roles(
     df: DataFrame,
     datetime_columns: Sequence[str] = (),
@@ -26,25 +52,13 @@ def detect_roles(
     """
 
     def role(field: T.StructField) -> Column:
+        fixed, may_be_id = fixed_role(field, datetime_columns, boolean_prefixes, categorical_columns)
+        if not may_be_id:
+            return F.lit(fixed)
         column = F.col(f"`{field.name}`")
-        if field.name in categorical_columns:
-            return F.lit("categorical")
-        if any(field.name.startswith(p) for p in boolean_prefixes):
-            return F.lit("boolean")
-        if field.name in datetime_columns:
-            return F.lit("datetime")
-        if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.lit("datetime")
-        if isinstance(field.dataType, T.BooleanType):
-            return F.lit("boolean")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            return F.lit("numerical")
-        if isinstance(field.dataType, (T.StringType, T.IntegralType)):
-            other = "categorical" if isinstance(field.dataType, T.StringType) else "numerical"
-            distinct = F.approx_count_distinct(column, DISTINCT_ERROR)
-            known = F.count(column)
-            return F.when((known > 0) & (distinct >= known * ID_SHARE), "id").otherwise(other)
-        return F.lit("unknown")
+        distinct = F.approx_count_distinct(column, DISTINCT_ERROR)
+        known = F.count(column)
+        return F.when((known > 0) & (distinct >= known * ID_SHARE), "id").otherwise(fixed)
 
     entries = [
         F.struct(F.lit(f.name).alias("column_name"), role(f).alias("sdtype")) for f in df.schema.fields
