@@ -33,7 +33,7 @@ _PARITY_BITS = 31
 #: A key of more rows is cut into blocks of about so many, by what one in SOME documents has of it.
 HOT = 16_384
 SOME = 64
-_BLOCK = 2048
+_BLOCK = 512
 _ROW = ["key", "doc_id", "packed", "pairs"]
 _MET = "doc_a long, line_a int, doc_b long, line_b int, key long, packed long, pairs long"
 
