@@ -1,8 +1,8 @@
 """The newest row of each key, kept up to date by file stream instead of ranked over all history.
 
-A triggered batch job: it takes what has landed since its last run and stops. The state store holds one row a
-key, so a run reads new files only; partial aggregation on the map side sends one row a key and task. On a cluster
-with many keys set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
+A triggered batch job: it takes what has landed since its last run and stops. The table itself is the state, so a
+run reads new files and the kept rows, never old files, and no task holds keys in memory; partial aggregation on the
+map side sends one row a key and task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.columns import align_to
 from ..operators.filters import all_known
 from ..sources import tables
 
@@ -27,7 +28,7 @@ def _descending(field: T.StructField) -> Column:
 
 
 def newest_of_each(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
-    """The newest row of each key as one aggregate, which streams can keep; same rows as ``latest_per_key``.
+    """The newest row of each key as one aggregate, which merges with earlier ones; same rows as ``latest_per_key``.
 
     Nulls come last; all remaining columns break ties, smallest first.
     """
@@ -56,8 +57,8 @@ def take_newest(
     """Fold newly landed Parquet files into the table ``name`` of newest rows; None while there is no row.
 
     ``prepare`` cleans the rows first (row by row; no joins or aggregates). Rows without a key are left out.
-    A batch upserts the keys whose files it read, and writes the same rows when it is repeated. Rows that land
-    late don't replace newer ones, whatever order the files come in.
+    A batch is ranked once, together with the kept rows, and writes the same rows when it is repeated. Rows that
+    land late don't replace newer ones, whatever order the files come in.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -69,13 +70,14 @@ def take_newest(
         session = batch.sparkSession
         if tables.table_exists(session, name, base):
             tables.recover_table(session, name, base)
-            tables.upsert_table(session, name, batch, keys, base)
-        elif not batch.isEmpty():
-            tables.replace_table(session, name, batch, base)
+            kept = session.table(name)
+            batch = kept.unionByName(align_to(batch, kept.schema))
+        elif batch.isEmpty():
+            return
+        tables.replace_table(session, name, newest_of_each(batch, keys, newest_first), base)
 
     (
-        newest_of_each(rows, keys, newest_first)
-        .writeStream.outputMode("update")
+        rows.writeStream
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

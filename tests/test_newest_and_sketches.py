@@ -61,6 +61,34 @@ def test_stream_keeps_the_newest_product(spark, tmp_path):
     assert shown(take()) == shown(whole()) and whole().count() == 4
 
 
+def test_stream_ranks_a_batch_once_without_a_state_store(spark, tmp_path):
+    landing, base, checkpoint = (str(tmp_path / n) for n in ("landing", "tables", "checkpoint"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def take(rows):
+        landed = spark.createDataFrame(rows, "k long, day date, t string")
+        landed.coalesce(1).write.mode("append").parquet(landing)
+        before = read.value
+        kept = take_newest(
+            spark, landing, landed.schema, ["k"], ["day"], "newest_once", base, checkpoint,
+            lambda df: df.mapInArrow(counted, df.schema),
+        )
+        return sorted(map(tuple, kept.collect())), read.value - before
+
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    take([(i, one, "a") for i in range(50)])
+    found, passed = take([(0, two, "b"), (1, None, "c"), (2, one, "A"), (None, two, "x"), (50, None, "d")])
+    assert passed == 5  # each new row once, no old one
+    expected = [(0, two, "b"), (1, one, "a"), (2, one, "A"), *[(i, one, "a") for i in range(3, 50)], (50, None, "d")]
+    assert found == expected
+    assert not (tmp_path / "checkpoint" / "state").exists()
+
+
 def test_silver_over_kept_products_equals_silver_over_history(spark, tmp_path):
     """The table holds clean rows; as a search input they give the same join."""
     inputs = bronze(spark, search_loads=3)
