@@ -325,3 +325,24 @@ def test_whole_run_twice_with_a_fitted_sampler(spark, small):
     assert written["search"].count() == seed.count() * 2 * 2
     assert spark.table("twice.trends").count() == 90
     assert spark.table("twice.training_run").count() == spark.table("twice.model_version").count() == 2
+
+
+def test_thresholds_and_keys_are_made_before_prices_are_repeated_by_day(spark):
+    """Days share a price's threshold; a row's draws are those of its joined keys, nulls left out."""
+    from shelfcast.functions.draws import joined_key, uniform
+    from shelfcast.plans.price_snapshot import cart_threshold
+
+    day = "2024-03-01T06:00:00"
+    rows = [(1, "10", 50.0), (None, "11", 160.0), (2, None, 210.5), (None, "", 9.5)]
+    full = [(s, p, "t", price, 2.5, "b", 1, 3, "", "c", "", "2024-03-01", day, day) for s, p, price in rows]
+    search = spark.createDataFrame(full, PRODUCT_SEARCH)
+    prices = price_snapshot(search)
+    plan = prices._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "threshold-1" in below and "threshold-1" not in above
+    expected = {p: t for p, t in search.select("price", cart_threshold("price")).collect()}
+    assert [r["cart_add_on_threshold"] for r in prices.collect()] == [expected[r["price"]] for r in prices.collect()]
+    keys = ["store_id", "product_id"]
+    frame = spark.createDataFrame([*[r[:2] for r in rows], (None, None)], "store_id long, product_id string")
+    joined = frame.select(uniform("a", *keys, F.lit(3)), uniform("a", joined_key(joined_key(*keys), F.lit(3))))
+    assert all(a == b for a, b in joined.collect())
