@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import draws
@@ -11,7 +13,7 @@ from ..operators.joins import choose_observed
 from ..plans import fulfillment as ff
 from ..plans.dependence import fit_tree, pair_counts, sample_tree
 from ..plans.load_marginals import load_sketches, merged_marginals
-from ..plans.copula import cleaned_for_fit, fit_copula, sample_copula
+from ..plans.copula import as_number, cleaned_for_fit, fit_copula, sample_copula
 from ..plans.price_snapshot import cart_threshold, price_snapshot
 from ..plans.search_snapshot import search_snapshot, varied_price, varied_rating
 from ..plans.trends import generated_trends
@@ -399,6 +401,35 @@ def category_shares(spark, folder):
     return fitted.withColumn("share", F.round("share", 9))
 
 
+def ranks_near(lines, marginals, error):
+    """A row a column and quantile: whether its rank among all rows is within ``error`` of its share.
+
+    A task counts its rows below and up to each quantile, a sorted batch at a time; the counts are summed. NaN is
+    the largest value, as in Spark's order.
+    """
+    grids = [(m.name, list(m.quantiles)) for m in marginals]
+    columns = [as_number(m.name, lines.schema[m.name].dataType).alias(m.name) for m in marginals]
+
+    def counted(batches):
+        counts = [np.zeros((2, len(grid)), np.int64) for _, grid in grids]
+        rows = 0
+        for batch in batches:
+            rows += batch.num_rows
+            for (name, grid), own in zip(grids, counts):
+                values = np.sort(batch.column(name).drop_null().to_numpy(zero_copy_only=False))
+                own += [np.searchsorted(values, grid, side) for side in ("left", "right")]
+        for (name, grid), (below, upto) in zip(grids, counts):
+            size = len(grid)
+            arrays = [pa.array([name] * size), pa.array(range(size), pa.int32()), pa.array(below), pa.array(upto)]
+            names = ["name", "position", "below", "upto", "rows"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array([rows] * size, pa.int64())], names)
+
+    parts = lines.select(*columns).mapInArrow(counted, "name string, position int, below long, upto long, rows long")
+    n, share = F.sum("rows"), F.col("position") / 200
+    near = (F.sum("below") / n <= share + error) & (F.sum("upto") / n >= share - error)
+    return parts.groupBy("name", "position").agg(near.alias("near"), n.alias("rows"))
+
+
 @query(
     "g10_quantile_ranks",
     "SELECT name, CAST(i AS INT) AS position, TRUE AS near, n.rows FROM (VALUES "
@@ -408,16 +439,7 @@ def category_shares(spark, folder):
 def quantile_ranks(spark, folder):
     """Each fitted quantile has its rank in the table, within the stated error of the quantile sketch."""
     lines = table(spark, folder, "lineitem")
-    cells = []
-    for m in fit_copula(lines, MEASURES).marginals:
-        for i, q in enumerate(m.quantiles):
-            value, n = F.col(m.name), F.count(F.lit(1))
-            below, upto = (F.sum(c.cast("int")) / n for c in (value < q, value <= q))
-            near = (below <= i / 200 + 2e-4) & (upto >= i / 200 - 2e-4)
-            cells.append(
-                F.struct(F.lit(m.name).alias("name"), F.lit(i).alias("position"), near.alias("near"), n.alias("rows"))
-            )
-    return lines.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return ranks_near(lines, fit_copula(lines, MEASURES).marginals, 2e-4)
 
 
 def closeness(sample, lines, names):
@@ -492,16 +514,7 @@ def merged_sketches(spark, folder):
     lines = table(spark, folder, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
     path = fresh_path(spark, "load-sketches")
     load_sketches(lines, "month", MEASURES).write.parquet(path)
-    cells = []
-    for m in merged_marginals(lines, spark.read.parquet(path), numeric=MEASURES):
-        for i, q in enumerate(m.quantiles):
-            value, n = F.col(m.name), F.count(F.lit(1))
-            below, upto = (F.sum(c.cast("int")) / n for c in (value < q, value <= q))
-            near = (below <= i / 200 + 5e-3) & (upto >= i / 200 - 5e-3)
-            cells.append(
-                F.struct(F.lit(m.name).alias("name"), F.lit(i).alias("position"), near.alias("near"), n.alias("rows"))
-            )
-    return lines.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return ranks_near(lines, merged_marginals(lines, spark.read.parquet(path), numeric=MEASURES), 5e-3)
 
 
 DEPENDENT = """SELECT l_returnflag AS flag, l_linestatus AS status, l_returnflag || (l_linenumber % 2) AS service,

@@ -127,3 +127,22 @@ def test_clean_up(spark):
     assert got[0]["s"] == "" and got[0]["n"] == 0 and got[0]["d"] is None
     assert got[0]["cutoff_time"].year == 1900
     assert got[1]["cutoff_time"].year == 2024
+
+
+def test_ranks_near_counts_as_comparisons_do(spark):
+    """Against a comparison of every row with every quantile; nulls count as rows, NaN is the largest."""
+    from shelfcast.checks.q_generators import ranks_near
+    from shelfcast.plans.copula import Marginal
+
+    values = [None, float("nan"), float("inf"), -1.0, *[float(i % 7) for i in range(40)]]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "x double, n int").repartition(3)
+    kinds = [f.dataType for f in df.schema.fields]
+    grids = {"x": [-1.0, 0.0, 2.0, 2.0, 6.5, float("nan")], "n": [0.0, 20.5, 100.0]}
+    marginals = [Marginal(c, k, 0.0, quantiles=grids[c]) for c, k in zip(df.columns, kinds)]
+    for error in (2e-4, 0.3, 0.6):
+        got = {(r["name"], r["position"]): (r["near"], r["rows"]) for r in ranks_near(df, marginals, error).collect()}
+        for name, grid in grids.items():
+            for i, q in enumerate(grid):
+                below, upto = df.agg(*[F.sum(c.cast("int")) / F.count(F.lit(1)) for c in (F.col(name) < q, F.col(name) <= q)]).first()
+                assert got.pop((name, i)) == (below <= i / 200 + error and upto >= i / 200 - error, len(values))
+        assert not got
