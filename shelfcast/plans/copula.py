@@ -285,14 +285,17 @@ def _look_up(spark: SparkSession, rows: DataFrame, column: str, m: Marginal) ->
 
 
 def sample_copula(spark: SparkSession, model: Copula, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows with a ``row_id``. A row depends on its id and the seed only, so retries repeat it."""
+    """``n`` rows with a ``row_id``. A row depends on its id and the seed only, so retries repeat it.
+
+    Whether a value is missing is drawn for the columns that have missing values only.
+    """
     marginals = list(model.marginals)
     root = np.linalg.cholesky(model.correlation)
     size = len(marginals)
     draws = spark.range(n).select(
         F.col("id").alias("row_id"),
         *[uniform(f"copula-{seed}-{i}", "id").alias(f"u{i}") for i in range(size)],
-        *[uniform(f"missing-{seed}-{i}", "id").alias(f"m{i}") for i in range(size)],
+        *[uniform(f"missing-{seed}-{i}", "id").alias(f"m{i}") for i, m in enumerate(marginals) if m.null_share > 0],
     )
     known = [(list(m.quantiles), list(m.categories), list(m.reached), m.null_share) for m in marginals]
     grid_of_scores, grid_of_shares = _SCORES, _SHARES
@@ -312,7 +315,8 @@ def sample_copula(spark: SparkSession, model: Copula, n: int, seed: int = 42) ->
                     values = np.interp(share, np.linspace(0.0, 1.0, len(quantiles)), np.asarray(quantiles))
                 else:
                     values = share
-                result[f"c{i}"] = pd.Series(values, index=batch.index).mask(batch[f"m{i}"] < missing)
+                column = pd.Series(values, index=batch.index)
+                result[f"c{i}"] = column.mask(batch[f"m{i}"] < missing) if missing > 0 else column
             yield pd.DataFrame(result)
 
     fields = [T.StructField(f"c{i}", T.StringType() if m.categories else T.DoubleType()) for i, m in enumerate(marginals)]

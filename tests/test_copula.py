@@ -129,6 +129,15 @@ def test_clean_up(spark):
     assert got[1]["cutoff_time"].year == 2024
 
 
+def test_no_draw_of_missing_values_for_complete_columns(spark, table):
+    model = fit_copula(table, ["x", "m"], ["c"])
+    sample = sample_copula(spark, model, 2000)
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert "missing-42-1" in plan and "missing-42-0" not in plan and "missing-42-2" not in plan
+    assert sample.filter("x IS NULL OR c IS NULL").count() == 0
+    assert abs(sample.filter("m IS NULL").count() / 2000 - 0.2) < 0.04
+
+
 def test_ranks_near_counts_as_comparisons_do(spark):
     """Against a comparison of every row with every quantile; nulls count as rows, NaN is the largest."""
     from shelfcast.checks.q_generators import ranks_near
