@@ -6,9 +6,9 @@ layer sees the classes of ``SIDE`` words left and right of a hidden word and pre
 word within its class has its share of the class's count. A document's score is the sum of the log
 probabilities of its words.
 
-Training examples are every ``EVERY``-th position of all documents, by a hash of the position and its
-words, so they grow with the corpus; they are dealt to shards of about ``SHARD`` examples, trained in
-parallel from common weights, and the weights are averaged, ``ROUNDS`` times.
+Every position of all documents is a training example, once. Texts are cut into pieces, and the pieces
+are dealt by a hash of their row and place to ``ROUNDS`` rounds of shards of about ``SHARD`` examples.
+The shards of a round are trained in parallel from common weights, which are then averaged.
 """
 
 from __future__ import annotations
@@ -20,18 +20,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .words import Slice, mixed, slices, written
+from .words import Slice, mixed, slices, unsigned, written
 
 BUCKET_BITS = 18
 CLASSES = 256
 OWN = 192
 SIDE = 3
 HIDDEN = 16
-EVERY = 32
+EVERY = 1
 SHARD = 400_000
 ROUNDS = 3
 EDGE = CLASSES  # stands for what lies outside the text
-_TOKENS = 8192
+#: Words of a text that are dealt together.
+PIECE = 32
+_TOKENS = 1024
 #: Shards whose weights are summed by one task before the driver sees them.
 _SUMS = 32
 
@@ -120,7 +122,7 @@ def class_log_probability(m: Model, near: np.ndarray, target: np.ndarray) -> np.
         # Weights are small, so the sum cannot overflow; the guard is for safety.
         np.minimum(logits, 80.0, out=logits)
         np.exp(logits, out=logits)
-        out[i : i + _TOKENS] = own - np.log(logits.sum(1, dtype=np.float64))
+        out[i : i + _TOKENS] = own - np.log(logits.sum(1).astype(np.float64))
     return out
 
 
@@ -128,20 +130,25 @@ def fit(m: Model, examples: np.ndarray, rate: float = 0.05, batch: int = 512) ->
     """One pass of Adagrad over ``examples`` (2 * SIDE context classes, target class), in their order."""
     near, bias, out, base = (x.copy() for x in (m.near, m.bias, m.out, m.base))
     moved = [np.full_like(x, 1e-2) for x in (near, bias, out, base)]
+    units = np.arange(HIDDEN)
+    rows = np.arange(2 * SIDE) * (CLASSES + 1)
     for i in range(0, len(examples), batch):
         x, y = examples[i : i + batch, :-1], examples[i : i + batch, -1]
         own = Model(m.classes, m.within, near, bias, out, base)
         h = hidden(own, x)
-        logits = h @ out + base
-        logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
+        p = h @ out
+        p += base
+        np.minimum(p, 80.0, out=p)  # as in the scores
+        np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(y)), y] -= 1
         p /= len(y) ** 0.5
         inner = (p @ out.T) * (1 - h * h)
-        steps = [np.zeros_like(near), inner.sum(0), h.T @ p, p.sum(0)]
-        for j in range(2 * SIDE):
-            np.add.at(steps[0][j], x[:, j], inner)
+        # Sums of ``inner`` by side word and class, all units at once.
+        cells = ((x + rows) * HIDDEN)[:, :, None] + units
+        weight = np.broadcast_to(inner[:, None, :], cells.shape)
+        summed = np.bincount(cells.reshape(-1), weight.reshape(-1), near.size)
+        steps = [summed.reshape(near.shape).astype(np.float32), inner.sum(0), h.T @ p, p.sum(0)]
         for w, g, seen in zip((near, bias, out, base), steps, moved):
             seen += g * g
             w -= rate * g / np.sqrt(seen)
@@ -168,34 +175,52 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _examples(batches, m: Model, shards: int, every: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batches, m: Model, groups: int) -> Iterator[pa.RecordBatch]:
+    """The classes of all texts in pieces of ``PIECE`` words with ``SIDE`` more on both sides, EDGE outside
+    the text, for the group that a hash of the row and the piece's place deals each to."""
+    width = PIECE + 2 * SIDE
     for batch in batches:
+        keys = unsigned(batch.column("row"))
         for s in slices(batch.column("text")):
-            b = buckets(s)
-            if not len(b):
+            n = s.counts()
+            if not n.sum():
                 continue
-            c = m.classes[b]
-            near = contexts(s.first, c)
-            place = np.arange(len(b)) - np.repeat(s.first[:-1], s.counts())
-            draw = np.uint64(1) + b.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(20))
-            for j in range(2 * SIDE):
-                draw = mixed(draw * np.uint64(0x9E3779B97F4A7C15) + near[:, j].astype(np.uint64))
-            at = np.flatnonzero(draw % np.uint64(every) == 0)
-            shard = ((draw[at] >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((draw[at], shard))
-            at, shard = at[order], shard[order]
-            rows = np.concatenate([near[at], c[at][:, None]], 1).astype(np.int16)
-            cut = np.searchsorted(shard, np.arange(shards + 1))
+            c = m.classes[buckets(s)]
+            cuts = -(-n // PIECE)
+            doc = np.repeat(np.arange(len(n)), cuts)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+            at = (s.first[:-1][doc] + piece * PIECE - SIDE)[:, None] + np.arange(width)
+            inside = (at >= s.first[:-1][doc][:, None]) & (at < s.first[1:][doc][:, None])
+            rows = np.where(inside, c[np.clip(at, 0, len(c) - 1)], EDGE).astype(np.int16)
+            draw = mixed(keys[s.row + doc] + piece.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            group = ((draw >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)
+            order = np.argsort(group, kind="stable")
+            rows, cut = rows[order], np.searchsorted(group[order], np.arange(groups + 1))
             some = np.flatnonzero(np.diff(cut))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(some, pa.int32()),
                     pa.array([rows[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()),
                 ],
-                ["shard", "examples"],
+                ["shard", "pieces"],
             )
 
 
+def examples(pieces: np.ndarray, every: int = 1) -> np.ndarray:
+    """All words of ``pieces`` as examples (2 * SIDE context classes, target class), in the order of a hash
+    of their content; with ``every`` above 1, those of which that hash is divisible by it."""
+    around = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1), SIDE]
+    own = np.stack([pieces[:, j : j + PIECE].reshape(-1) for j in around], 1)
+    own = own[own[:, -1] != EDGE]
+    key = np.zeros(len(own), np.uint64)
+    for j in range(own.shape[1]):
+        key = mixed(key * np.uint64(31) + own[:, j].astype(np.uint64) + np.uint64(1))
+    if every > 1:
+        some = key % np.uint64(every) == 0
+        own, key = own[some], key[some]
+    return own[np.argsort(key, kind="stable")]
+
+
 def _weighted_sums(batches) -> Iterator[pa.RecordBatch]:
     total, weight = None, 0.0
     for batch in batches:
@@ -203,7 +228,7 @@ def _weighted_sums(batches) -> Iterator[pa.RecordBatch]:
             flat = np.frombuffer(own.as_buffer(), np.float32).astype(np.float64) * n
             total = flat if total is None else total + flat
             weight += n
-    if total is not None:
+    if weight:
         yield pa.RecordBatch.from_arrays(
             [pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary()), pa.array([weight])],
             ["weights", "n"],
@@ -220,31 +245,33 @@ def train(docs: DataFrame, every: int = EVERY, shard: int = SHARD, rounds: int =
     words = int(counts.sum())
     if not words:
         return model
-    shards = 1 + words // every // shard
+    shards = 1 + words // every // shard // rounds  # of a round
     first = model
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(
-        lambda b: _examples(b, first, shards, every), "shard int, examples binary"
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64(*hashed).alias("row"))
+    pieces = written(
+        spark,
+        rows.mapInArrow(lambda b: _pieces(b, first, rounds * shards), "shard int, pieces binary"),
+        "lm-pieces",
     )
-    examples = written(spark, rows, "lm-examples")
-    for _ in range(rounds):
+    for turn in range(rounds):
         now = model
 
         def epoch(table: pa.Table) -> pa.Table:
-            flat = b"".join(x.as_buffer().to_pybytes() for x in table["examples"])
-            own = np.frombuffer(flat, np.int16).reshape(-1, 2 * SIDE + 1)
-            key = np.zeros(len(own), np.uint64)
-            for j in range(own.shape[1]):
-                key = mixed(key * np.uint64(31) + own[:, j].astype(np.uint64) + np.uint64(1))
-            trained = fit(now, own[np.argsort(key, kind="stable")])
+            flat = b"".join(x.as_buffer().to_pybytes() for x in table["pieces"])
+            own = examples(np.frombuffer(flat, np.int16).reshape(-1, PIECE + 2 * SIDE), every)
             return pa.table(
-                {"weights": pa.array([packed(trained).tobytes()], pa.binary()), "n": [float(len(own))]}
+                {"weights": pa.array([packed(fit(now, own)).tobytes()], pa.binary()), "n": [float(len(own))]}
             )
 
-        trained = examples.groupBy("shard").applyInArrow(epoch, "weights binary, n double")
+        dealt = pieces.filter(F.col("shard").between(turn * shards, (turn + 1) * shards - 1))
+        trained = dealt.groupBy("shard").applyInArrow(epoch, "weights binary, n double")
         if shards > _SUMS:
             trained = trained.repartition(_SUMS).mapInArrow(_weighted_sums, "weights binary, n double")
         parts = trained.collect()  # at most _SUMS rows of about 100 KB
         total = sum(r["n"] for r in parts)
+        if not total:  # few texts: no piece of them is dealt to this round
+            continue
         flat = sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * (r["n"] / total) for r in sorted(parts, key=lambda r: (r["n"], bytes(r["weights"]))))
         model = unpacked(model, flat)
     return model

@@ -320,3 +320,34 @@ def test_the_network_learns_from_both_sides(spark):
     assert plain > np.log(1 / 36) + 1 > mixed
     again = lm.train(train.repartition(9), every=4, shard=4000)
     assert np.allclose(again.out, model.out, atol=1e-4)
+
+
+def test_every_position_is_an_example_once(spark):
+    texts = ["a b c d e f g " * 30, "h", "", None, "i j", "a b c d e f g " * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.start(lm.corpus_counts(df))
+    rows = df.selectExpr("text", "xxhash64(doc_id, text) AS row").repartition(3)
+    got = rows.mapInArrow(lambda b: lm._pieces(b, model, 7), "shard int, pieces binary").collect()
+    assert len({r.shard for r in got}) > 1
+    width = lm.PIECE + 2 * lm.SIDE
+    own = [lm.examples(np.frombuffer(r.pieces, np.int16).reshape(-1, width)) for r in got]
+    expected = []
+    for text in texts:
+        s = next(lm.slices(lm.pa.array([text], lm.pa.string())))
+        c = model.classes[lm.buckets(s)]
+        expected += [(*near, y) for near, y in zip(lm.contexts(s.first, c).tolist(), c.tolist())]
+    assert sorted(map(tuple, np.concatenate(own).tolist())) == sorted(expected)
+
+
+def test_training_takes_every_position(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    plain = lm.fit
+
+    def counted(model, own, *rest):
+        seen.add(len(own))
+        return plain(model, own, *rest)
+
+    monkeypatch.setattr(lm, "fit", counted)
+    df = spark.createDataFrame([(i, "a b c d e " * (i % 40)) for i in range(200)], "doc_id long, text string")
+    lm.train(df, shard=2000)
+    assert seen.value == 5 * sum(i % 40 for i in range(200))
