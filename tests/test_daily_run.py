@@ -17,8 +17,11 @@ from shelfcast.plans.daily_run import (
     load_search,
     load_stores,
     run_all,
+    update_features,
+    update_scores,
 )
-from shelfcast.plans.gold import gold
+from shelfcast.plans.gold import GOLD_COLUMNS, gold
+from shelfcast.plans.model import fit
 from shelfcast.plans.price_snapshot import latest_record
 from shelfcast.plans.silver import latest_prices, one_trend_a_day, silver
 from shelfcast.plans.trends import generated_trends
@@ -317,3 +320,43 @@ def test_both_forms_of_role_files(spark, tmp_path):
         assert sorted(map(tuple, read_roles(spark, str(tmp_path / form)).collect())) == sorted(map(tuple, roles.collect())), form
     frame = spark.createDataFrame([], "a int, b string, c string, d boolean, e string, f string")
     assert marginal_kinds(roles, frame) == (["a"], ["d", "e"], ["c"])
+
+
+def test_the_fact_load_shuffles_row_ids_only(spark, tmp_path, monkeypatch):
+    plans = []
+    write = tables._write_load
+
+    def seen(session, root, df, folder, by):
+        plans.append((root, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(session, root, df, folder, by)
+
+    monkeypatch.setattr(tables, "_write_load", seen)
+    search = spark.createDataFrame([(s, p, "2024-03-01") for s in range(3) for p in range(9)], "store_id long, product_id long, load_date string")
+    load_fulfillment(Run(spark, str(tmp_path), "facts_by_id", NOW), search)
+    plan = next(p for root, p in plans if root.endswith("product_fulfillment"))
+    above, below = plan.split("Join", 1)
+    assert "method" in above and "method" not in below.split("LocalRelation")[0]
+
+
+def test_features_and_scores_are_written_as_gold_lies(spark, tmp_path, monkeypatch):
+    plans = []
+    write = tables._write_load
+
+    def seen(session, root, df, folder, by):
+        plans.append((root.rsplit("/", 1)[1], df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(session, root, df, folder, by)
+
+    monkeypatch.setattr(tables, "_write_load", seen)
+    rows = [(i % 5, i, dt.date(2024, 2, 1 + i % 9), i % 3 == 0, float(i % 7)) for i in range(90)]
+    columns = {"store_id": 0, "product_id": 1, "ds": 2, "stockout_next_7d": 3}
+    frame = spark.createDataFrame(rows, "store_id int, product_id int, ds date, stockout_next_7d boolean, v double")
+    whole = [F.col(c) if c in columns else F.lit("x").alias(c) if c in ("brand", "category") else F.col("v").alias(c) for c in GOLD_COLUMNS]
+    run = Run(spark, str(tmp_path), "as_it_lies", NOW)
+    stored = tables.replace_table(spark, run.name("gold"), frame.select(*whole), run.base, ["ds"])
+    for first in (None, dt.date(2024, 2, 5)):
+        features = update_features(run, stored, first)
+        update_scores(run, features, fit(features, max_iter=5), first)
+    written = [p for name, p in plans if name in ("stockout_feature_rows", "stockout_predictions")]
+    assert len(written) == 4 and not any("Rebalance" in p for p in written)
+    assert spark.table(run.name("stockout_feature_rows")).count() == 90
+    assert spark.table(run.name("stockout_predictions")).count() == 90

@@ -346,3 +346,12 @@ def test_thresholds_and_keys_are_made_before_prices_are_repeated_by_day(spark):
     frame = spark.createDataFrame([*[r[:2] for r in rows], (None, None)], "store_id long, product_id string")
     joined = frame.select(uniform("a", *keys, F.lit(3)), uniform("a", joined_key(joined_key(*keys), F.lit(3))))
     assert all(a == b for a, b in joined.collect())
+
+
+def test_attributes_are_drawn_after_the_pairs_are_assigned(spark):
+    pairs = spark.createDataFrame([(s, str(p)) for s in range(3) for p in range(4)], "store_id long, tcin string")
+    ids = ff.row_ids(spark, 1000)
+    plain = ff.fulfillment_load(ff.drawn_attributes(ids), pairs, NOW.date(), NOW)
+    later = ff.fulfillment_load(ids, pairs, NOW.date(), NOW, ff.drawn_attributes)
+    assert later.schema == plain.schema
+    assert sorted(map(str, later.collect())) == sorted(map(str, plain.collect()))
