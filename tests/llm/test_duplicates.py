@@ -239,6 +239,30 @@ def test_lists_cut_on_one_side_only(spark, listed, less, larger):
     assert {(r.a, r.b) for r in pairs.collect()} == {(2 * i, 2 * i + 1) for i in range(120)}
 
 
+def test_a_large_group_of_near_copies_takes_a_few_pairs_each(spark, monkeypatch):
+    rng = random.Random(8)
+    base = ["b%d" % i for i in range(144)]
+    rows = []
+    for i in range(700):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4])):
+            own[rng.randrange(144)] = "x%x" % rng.getrandbits(50)
+        rows.append((i, " ".join(own)))
+    compared = []
+    written = sketch_dedup.written
+
+    def counted(spark, df, label):
+        out = written(spark, df, label)
+        if label in ("sketch-pairs", "sketch-rest"):
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(sketch_dedup, "written", counted)
+    got = sketch_dedup.near_copies(spark.createDataFrame(rows, SCHEMA).repartition(4), n=4, percent=80).collect()
+    assert {tuple(r) for r in got} == copies_brute(rows)
+    assert sum(compared) < 10 * len(rows)
+
+
 def test_near_copy_query_equals_brute_force(spark, small):
     from shelfcast.llm.queries import QUERIES
 
