@@ -7,7 +7,7 @@ import re
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from shelfcast.llm import line_dedup, sketch_dedup, substring_dedup
+from shelfcast.llm import components as component_steps, line_dedup, sketch_dedup, substring_dedup
 from shelfcast.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -281,6 +281,42 @@ def test_components_of_long_and_wide_groups(spark):
     assert got[3] == got[4] == 3
 
 
+def counted_writes(monkeypatch, *modules):
+    labels = []
+    for module in modules:
+        def counted(spark, df, label, write=module.written):
+            labels.append(label)
+            return write(spark, df, label)
+
+        monkeypatch.setattr(module, "written", counted)
+    return labels
+
+
+@pytest.mark.parametrize("few, writes", [(1 << 20, 2), (100, None)])
+def test_few_links_are_joined_up_in_one_task(spark, monkeypatch, few, writes):
+    rng = random.Random(3)
+    path = list(range(-50, 150))
+    rng.shuffle(path)
+    edges = [*zip(path, path[1:]), *((900, x) for x in range(901, 960)), (2**40, -(2**40)), (7, 7), (700, 700)]
+    labels = counted_writes(monkeypatch, component_steps)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(4)
+    got = sorted(map(tuple, components(spark, df, few).collect()))
+    expected = [*((x, -50) for x in path), *((x, 900) for x in range(900, 960)), (2**40, -(2**40)), (-(2**40), -(2**40))]
+    assert got == sorted(expected)
+    assert len(labels) == (writes or len(labels))
+    assert components(spark, df.where("u = v"), few).collect() == []
+
+
+def test_no_round_over_lists_that_are_closed(spark, monkeypatch):
+    base = ["b%d" % i for i in range(150)]
+    rows = [(i, " ".join([*base, *("x%d" % j for j in range(i % 5))])) for i in range(90)]
+    rows += [(100 + i, " ".join(base[: 149 - i])) for i in range(8)]
+    labels = counted_writes(monkeypatch, sketch_dedup)
+    got = sketch_dedup.near_copies(spark.createDataFrame(rows, SCHEMA), n=4, percent=80, long=4).collect()
+    assert {tuple(r) for r in got} == copies_brute(rows) and {r.component_id for r in got} == {0}
+    assert labels.count("sketch-rest") == 1
+
+
 def passages_brute(rows, window=20):
     first = {}
     words = {}
